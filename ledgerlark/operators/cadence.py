@@ -19,8 +19,6 @@ from ledgerlark.schema import DATE_LIKE, ID_LIKE, InvoiceColumns, require_rules,
 # Active cadences needed before the next one counts as expected.
 LOOKBACK = {"month": 3, "quarter": 2}
 
-_DAYS_OF_MONTH = 31
-
 
 def active_months(invoices: DataFrame, columns: InvoiceColumns = InvoiceColumns()) -> DataFrame:
     """One row per (vendor, month) with any invoice: first day, and whether any has an id.
@@ -38,7 +36,7 @@ def active_months(invoices: DataFrame, columns: InvoiceColumns = InvoiceColumns(
 def active_months_with_days(
     invoices: DataFrame, columns: InvoiceColumns = InvoiceColumns()
 ) -> DataFrame:
-    """Like ``active_months``, plus how many invoices fell on each day of the month.
+    """Like ``active_months``, plus ``day_counts``: (day of month, invoices), at most 31 pairs.
 
     Copies of an invoice on one day count once. ``lowest`` and ``highest`` are the extreme
     invoice ids, which tell a single invoice from several without a distinct count.
@@ -53,23 +51,12 @@ def active_months_with_days(
             F.max("invoice").alias("highest"),
         )
     )
-    on_day = [
-        F.sum(F.when(F.dayofmonth("day") == number, F.col("n")).otherwise(0)).alias(f"d{number}")
-        for number in range(1, _DAYS_OF_MONTH + 1)
-    ]
-    return (
-        per_day.groupBy("vendor", F.trunc("day", "month").alias("cadence"))
-        .agg(
-            F.min("day").alias("first_day"),
-            (F.sum("n") > 0).alias("billed"),
-            F.min("lowest").alias("lowest"),
-            F.max("highest").alias("highest"),
-            *on_day,
-        )
-        .withColumn(
-            "day_counts", F.array(*[F.col(f"d{n}") for n in range(1, _DAYS_OF_MONTH + 1)])
-        )
-        .drop(*[f"d{n}" for n in range(1, _DAYS_OF_MONTH + 1)])
+    return per_day.groupBy("vendor", F.trunc("day", "month").alias("cadence")).agg(
+        F.min("day").alias("first_day"),
+        (F.sum("n") > 0).alias("billed"),
+        F.min("lowest").alias("lowest"),
+        F.max("highest").alias("highest"),
+        F.collect_list(F.struct(F.dayofmonth("day").alias("day"), "n")).alias("day_counts"),
     )
 
 
@@ -90,15 +77,12 @@ def to_cadence(months: DataFrame, unit: str) -> DataFrame:
     measures = {
         "first_day": F.min("first_day"),
         "billed": F.bool_or("billed"),
-        "lowest": F.min("lowest") if "lowest" in months.columns else None,
-        "highest": F.max("highest") if "highest" in months.columns else None,
+        "lowest": F.min("lowest"),
+        "highest": F.max("highest"),
+        "day_counts": F.flatten(F.collect_list("day_counts")),
     }
-    if "day_counts" in months.columns:
-        measures["day_counts"] = F.array(
-            *[F.sum(F.col("day_counts")[i]) for i in range(_DAYS_OF_MONTH)]
-        )
     return months.groupBy("vendor", cadence_start(F.col("cadence"), unit).alias("cadence")).agg(
-        *[measure.alias(name) for name, measure in measures.items() if measure is not None]
+        *[measure.alias(name) for name, measure in measures.items() if name in months.columns]
     )
 
 
@@ -144,7 +128,7 @@ def _missed(
         & F.col("run_billed")
     )
     if documented:
-        runs = runs.withColumn("usual_day", _most_frequent_day(F.col("run_days"), lookback))
+        runs = _with_most_frequent_day(runs)
     candidate = shift_cadence(F.col("cadence"), unit, 1)
     month_after = F.add_months("candidate", 1)
     arrived = F.when(F.col("next_cadence") == F.col("candidate"), F.col("next_day"))
@@ -166,15 +150,18 @@ def _missed(
     )
 
 
-def _most_frequent_day(run_days: Column, lookback: int) -> Column:
-    """Day of month with the most invoices over the run; the earliest of several."""
-    totals = F.array(
-        *[
-            sum((run_days[step][i] for step in range(1, lookback)), run_days[0][i])
-            for i in range(_DAYS_OF_MONTH)
-        ]
+def _with_most_frequent_day(runs: DataFrame) -> DataFrame:
+    """Add ``usual_day``: the day of month with the most invoices over the run, the earliest of
+    several. The rows are already partitioned by vendor, so neither grouping shuffles.
+    """
+    keys = ["vendor", "cadence", "next_cadence", "next_day"]
+    by_day = (
+        runs.select(*keys, F.explode(F.flatten("run_days")).alias("pair"))
+        .groupBy(*keys, F.col("pair.day").alias("day"))
+        .agg(F.sum("pair.n").alias("n"))
     )
-    return F.array_position(totals, F.array_max(totals)).cast("int")
+    most = F.min(F.struct((-F.col("n")).alias("rank"), "day"))
+    return by_day.groupBy(*keys).agg(most["day"].alias("usual_day"))
 
 
 def _require(invoices: DataFrame, columns: InvoiceColumns, who: str) -> None:
@@ -234,6 +221,23 @@ def without_monthly(quarterly: DataFrame, monthly: DataFrame) -> DataFrame:
     return quarterly.join(covered, ["vendor", "cadence"], "left_anti")
 
 
+def either_cadence(monthly: DataFrame, quarterly: DataFrame) -> DataFrame:
+    """Monthly misses, and the quarterly ones of quarters without any monthly miss.
+
+    Same rows as ``monthly`` united with ``without_monthly``, but each input is computed once.
+    A vendor's quarter holds at most three monthly misses and one quarterly one.
+    """
+    both = monthly.withColumn("monthly", F.lit(True)).unionByName(
+        quarterly.withColumn("monthly", F.lit(False))
+    )
+    same_quarter = Window.partitionBy("vendor", cadence_start(F.col("cadence"), "quarter"))
+    return (
+        both.withColumn("covered", F.bool_or("monthly").over(same_quarter))
+        .where(F.col("monthly") | ~F.col("covered"))
+        .drop("monthly", "covered")
+    )
+
+
 def daily(misses: DataFrame) -> DataFrame:
     """One row per day from ``start`` up to, but not including, ``end``."""
     days = F.when(
@@ -254,9 +258,9 @@ def missing_invoices(
     ``as_of`` sets the current date; by default that is the newest invoice date in the table.
     """
     options = {"as_of": as_of, "rules": rules, "columns": columns}
-    monthly = monthly_misses(invoices, **options)
-    quarterly = quarterly_misses(invoices, **options)
-    misses = monthly.unionByName(without_monthly(quarterly, monthly))
+    misses = either_cadence(
+        monthly_misses(invoices, **options), quarterly_misses(invoices, **options)
+    )
     return daily(misses).select(
         F.col("vendor").alias("canonical_vendor_id"),
         F.col("date").alias("insight_date"),

@@ -25,12 +25,15 @@ def latest_invoice_dates(invoices: DataFrame, columns: InvoiceColumns) -> DataFr
 
 
 def invoice_amounts(invoices: DataFrame, columns: InvoiceColumns) -> DataFrame:
-    """One row per (vendor, invoice, date) with the largest amount among its copies."""
+    """One row per (vendor, invoice, date) with the largest amount among its copies.
+
+    Amounts that are not a number of cents (NaN, infinity) count as absent.
+    """
     return invoices.groupBy(
         F.col(columns.vendor).alias("vendor"),
         F.col(columns.invoice).alias("invoice"),
         F.col(columns.date).alias("issued"),
-    ).agg(F.max(F.col(columns.amount).cast(MONEY)).alias("amount"))
+    ).agg(F.max(F.col(columns.amount).try_cast(MONEY)).alias("amount"))
 
 
 def last_service_days(line_items: DataFrame, columns: InvoiceColumns) -> DataFrame:

@@ -92,6 +92,18 @@ def test_float_amounts_are_read_to_the_cent(spark):
     assert found(large_months(floats), "insight_text") == found(large_months(table), "insight_text")
 
 
+def test_amounts_that_are_no_numbers_are_absent(spark):
+    table = invoices(
+        spark, ("v", "a", "2020-01-05", "10"), ("v", "b", "2020-01-05", "1"),
+        ("v", "c", "2020-02-05", "20000"),
+    )
+    amount = "CASE invoice_id WHEN 'b' THEN double('NaN') ELSE double(total_amount) END"
+    broken = table.selectExpr("canonical_vendor_id", "invoice_id", "invoice_date",
+                              f"{amount} AS total_amount")
+    expected = large_months(table.where("invoice_id != 'b'"))
+    assert found(large_months(broken), "insight_text") == found(expected, "insight_text")
+
+
 def test_nothing_qualifies_and_empty_input(spark):
     table = invoices(spark, ("v", "a", "2020-01-05", "10"))
     assert large_months(table).count() == 0

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 
 def cents(amount: Column) -> Column:
-    return (amount * 100).cast("decimal(38,0)")
+    """An amount as a whole number of cents, in a long: sums of it stay in registers."""
+    return (amount * 100).cast("long")
 
 
 def from_cents(value: Column) -> Column:
@@ -21,19 +22,27 @@ def rounded_ratio(numerator: Column, denominator: Column) -> Column:
 
 
 def average_amount(total: Column, count: Column) -> Column:
-    """``total / count`` to the cent, half up."""
-    return from_cents(rounded_ratio(cents(total), count))
+    """``total / count`` to the cent, half up, for a total in cents."""
+    return from_cents(rounded_ratio(_wide(total), count))
 
 
 def percent_above_average(spend: Column, total: Column, count: Column) -> Column:
-    """How far ``spend`` lies above ``total / count``, in percent with two decimals, half up."""
-    excess = cents(spend) * count - cents(total)
-    return from_cents(rounded_ratio(excess * 10000, cents(total)))
+    """How far ``spend`` lies above ``total / count``, in percent with two decimals, half up.
+
+    All amounts are in cents.
+    """
+    excess = _wide(spend) * count - total
+    return from_cents(rounded_ratio(excess * 10000, _wide(total)))
 
 
 def exceeds_average_by(spend: Column, total: Column, count: Column, percent: int) -> Column:
-    """Whether ``spend`` is more than ``percent`` % above ``total / count``.
+    """Whether ``spend`` is more than ``percent`` % above ``total / count``, all in cents.
 
-    Cross-multiplied form of ``100 * (spend - total/count) / (total/count) > percent``.
+    Cross-multiplied form of ``100 * (spend - total/count) / (total/count) > percent``. The
+    products are decimals, so they cannot overflow.
     """
-    return (spend * count) * 100 > total * (100 + percent)
+    return _wide(spend) * count * 100 > _wide(total) * (100 + percent)
+
+
+def _wide(value: Column) -> Column:
+    return value.cast("decimal(20,0)")

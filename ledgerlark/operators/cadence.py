@@ -86,14 +86,18 @@ def to_cadence(months: DataFrame, unit: str) -> DataFrame:
     )
 
 
+def _given(as_of: date | str) -> Column:
+    return F.lit(as_of if isinstance(as_of, date) else date.fromisoformat(as_of))
+
+
 def _last_cadence(
-    invoices: DataFrame, unit: str, as_of: date | None, columns: InvoiceColumns
+    invoices: DataFrame, unit: str, as_of: date | str | None, columns: InvoiceColumns
 ) -> Column:
     """The cadence that counts as current: that of ``as_of``, or of the newest invoice.
 
     The newest invoice date is a scalar subquery, so it costs one narrow scan and no collect.
     """
-    newest = F.lit(as_of) if as_of else invoices.agg(F.to_date(F.max(columns.date))).scalar()
+    newest = _given(as_of) if as_of else invoices.agg(F.to_date(F.max(columns.date))).scalar()
     return cadence_start(newest, unit)
 
 
@@ -173,10 +177,10 @@ def _require(invoices: DataFrame, columns: InvoiceColumns, who: str) -> None:
 
 
 def _active(
-    invoices: DataFrame, as_of: date | None, rules: str, columns: InvoiceColumns
+    invoices: DataFrame, as_of: date | str | None, rules: str, columns: InvoiceColumns
 ) -> DataFrame:
     if as_of:
-        invoices = invoices.where(F.to_date(columns.date) <= F.lit(as_of))
+        invoices = invoices.where(F.to_date(columns.date) <= _given(as_of))
     months = active_months_with_days if rules == "documented" else active_months
     # One exchange by vendor serves both cadences and all their windows. It comes after the
     # aggregation, so a vendor contributes at most one row per calendar month to it.
@@ -186,7 +190,7 @@ def _active(
 def monthly_misses(
     invoices: DataFrame,
     *,
-    as_of: date | None = None,
+    as_of: date | str | None = None,
     rules: str = "code",
     columns: InvoiceColumns = InvoiceColumns(),
 ) -> DataFrame:
@@ -201,7 +205,7 @@ def monthly_misses(
 def quarterly_misses(
     invoices: DataFrame,
     *,
-    as_of: date | None = None,
+    as_of: date | str | None = None,
     rules: str = "code",
     columns: InvoiceColumns = InvoiceColumns(),
 ) -> DataFrame:
@@ -249,13 +253,14 @@ def daily(misses: DataFrame) -> DataFrame:
 def missing_invoices(
     invoices: DataFrame,
     *,
-    as_of: date | None = None,
+    as_of: date | str | None = None,
     rules: str = "code",
     columns: InvoiceColumns = InvoiceColumns(),
 ) -> DataFrame:
     """One alert per vendor and day on which an expected invoice is outstanding.
 
-    ``as_of`` sets the current date; by default that is the newest invoice date in the table.
+    ``as_of`` (a date, or its ISO text) sets the current date and hides later invoices; by
+    default the newest invoice date in the table is current.
     """
     options = {"as_of": as_of, "rules": rules, "columns": columns}
     misses = either_cadence(

@@ -9,7 +9,12 @@ from operator import or_
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlark.functions.money import average_amount, exceeds_average_by, percent_above_average
+from ledgerlark.functions.money import (
+    average_amount,
+    cents,
+    exceeds_average_by,
+    percent_above_average,
+)
 from ledgerlark.functions.text import sentence
 from ledgerlark.operators.invoices import invoice_amounts
 from ledgerlark.schema import (
@@ -94,32 +99,27 @@ def spend_history(
     """Monthly spend with the total and number of the vendor's active months in the frame.
 
     The frame covers ``window_days`` before the month, or ``lookback_months`` calendar months
-    when that is given. The window holds one row per vendor and month.
+    when that is given. The window holds one row per vendor and month. ``cents`` (the month's
+    spend) and ``total`` are whole cents.
     """
     frame = (
         trailing_days(window_days)
         if lookback_months is None
         else trailing_months(lookback_months, include_current)
     )
-    return monthly_spend(invoices, columns).withColumns(
-        {"total": F.sum("spend").over(frame), "months": F.count("spend").over(frame)}
+    return (
+        monthly_spend(invoices, columns)
+        .withColumn("cents", cents(F.col("spend")))
+        .withColumns({"total": F.sum("cents").over(frame), "months": F.count("cents").over(frame)})
     )
 
 
-def band_number(bands: tuple[SpendBand, ...]) -> Column:
-    """Position (from 1) of the band holding ``spend``; NULL outside all bands."""
-    number = F.lit(None).cast("int")
-    for position in range(len(bands), 0, -1):
-        number = F.when(bands[position - 1].holds(F.col("spend")), position).otherwise(number)
-    return number
-
-
 def fires(band: SpendBand) -> Column:
     return (
         band.holds(F.col("spend"))
         & (F.col("spend") > 0)
         & (F.col("total") > 0)
-        & exceeds_average_by(F.col("spend"), F.col("total"), F.col("months"), band.percent)
+        & exceeds_average_by(F.col("cents"), F.col("total"), F.col("months"), band.percent)
     )
 
 
@@ -159,9 +159,9 @@ def large_months(
         columns=columns,
     )
     large = history.where(reduce(or_, [fires(band) for band in bands or BANDS[rules]]))
-    spend, total, months = F.col("spend"), F.col("total"), F.col("months")
+    total, months = F.col("total"), F.col("months")
     versus = (
-        percent_above_average(spend, total, months)
+        percent_above_average(F.col("cents"), total, months)
         if documented
         else average_amount(total, months)
     )
@@ -172,7 +172,7 @@ def large_months(
             "spend",
             rules,
             vendor=F.col("vendor"),
-            spend=spend.cast("decimal(38,2)").cast("string"),
+            spend=F.col("spend").cast("string"),
             versus=versus.cast("string"),
         ).alias("insight_text"),
     )

@@ -11,7 +11,7 @@ from ledgerlark.operators.alerts import combine, conform
 from ledgerlark.plans.registry import SIGNALS
 from ledgerlark.schema import TableSpec
 from ledgerlark.sources.sinks import read_alerts, write_alerts
-from ledgerlark.sources.tables import read_typed, stage
+from ledgerlark.sources.tables import checkpoint_folder, read_typed, stage
 
 _SPEC_LISTS = ("string_columns", "float_columns", "integer_columns", "datetime_columns")
 
@@ -73,18 +73,26 @@ def run_config(
 ) -> DataFrame:
     """Build the alert table a configuration describes (``Data``, ``Gleans``, ``OutputPath``).
 
-    ``staged=True`` first converts the sources to parquet in the shared checkpoint folder.
+    ``staged=True`` first converts CSV sources to parquet in the shared checkpoint folder, so
+    that they are parsed once and not once per detector. That part runs at once; all else is
+    lazy.
     """
     _require_sections(config)
     tables = load_tables(spark, config["Data"], on_bad_value=on_bad_value)
     if staged:
-        tables = {name: stage(df) for name, df in tables.items()}
+        for name, entry in config["Data"].items():
+            if entry.get("format", "csv") == "csv":
+                tables[name] = stage(tables[name])
     return run_signals(tables, config["Gleans"], rules=rules, ids=ids)
 
 
 def execute_config(spark: SparkSession, config: Mapping[str, Any], **options) -> DataFrame:
-    """Run a configuration, write its alerts to ``OutputPath`` and return them as written."""
+    """Run a configuration, write its alerts to ``OutputPath`` and return them as written.
+
+    CSV sources are staged (see ``run_config``) wherever the session names a checkpoint folder.
+    """
     _require_sections(config)
+    options.setdefault("staged", checkpoint_folder(spark) is not None)
     output_format = config.get("OutputFormat", "csv")
     alerts = run_config(spark, config, **options)
     write_alerts(alerts, config["OutputPath"], output_format)

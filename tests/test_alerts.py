@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import ledgerlark as ll
+from ledgerlark.operators.cadence import monthly_misses
 from ledgerlark.plans import registry
 from tests.helpers import found, invoices, lines
 
@@ -138,3 +139,27 @@ def test_other_column_names(tables):
         ):
             expected = found(detect(*usual, rules=rules), *keys)
             assert expected and found(detect(*other, rules=rules, columns=names), *keys) == expected
+
+
+@pytest.mark.parametrize("kind", ["date", "timestamp_ntz"])
+def test_other_date_types(tables, kind):
+    cast = {
+        name: df.withColumns(
+            {c: F.col(c).cast(kind) for c in df.columns if c.endswith("_date")}
+        )
+        for name, df in tables.items()
+    }
+    names = ("glean_date", "glean_text", "glean_type", "invoice_id")
+    for rules in ("code", "documented"):
+        expected = found(ll.run_signals(tables, ALL, rules=rules), *names)
+        assert found(ll.run_signals(cast, ALL, rules=rules), *names) == expected
+
+
+def test_current_date_as_text(tables):
+    early = {"NoInvoiceReceived": {**INVOICES_ONLY, "as_of": "2020-04-20"}}
+    late = {"NoInvoiceReceived": {**INVOICES_ONLY, "as_of": "2020-08-01"}}
+    assert ll.run_signals(tables, early).count() == 21
+    assert ll.run_signals(tables, late).count() == ll.run_signals(
+        tables, {"NoInvoiceReceived": INVOICES_ONLY}
+    ).count()
+    assert monthly_misses(tables["inv"], as_of="2020-03-31").count() == 0

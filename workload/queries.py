@@ -49,8 +49,11 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new path in the cluster's shared folder; a local one only where none is configured."""
-    root = checkpoint_folder(spark) or tempfile.mkdtemp(prefix="ledgerlark-")
+    """A new path in the cluster's shared folder, or a local one where Spark itself is local."""
+    root = checkpoint_folder(spark)
+    if not root and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+    root = root or tempfile.mkdtemp(prefix="ledgerlark-")
     return f"{root.rstrip('/')}/{name}-{uuid4().hex}"
 
 
@@ -314,8 +317,8 @@ def win_range_avg_spend(spark, sf_dir):
 
 def spend_pct_change(spark, sf_dir):
     """Percent above the trailing average, rounded; zero where it is not above it."""
-    above = exceeds_average_by(F.col("spend"), F.col("total"), F.col("months"), 0)
-    percent = percent_above_average(F.col("spend"), F.col("total"), F.col("months"))
+    above = exceeds_average_by(F.col("cents"), F.col("total"), F.col("months"), 0)
+    percent = percent_above_average(F.col("cents"), F.col("total"), F.col("months"))
     return plain(
         _history(spark, sf_dir).select(
             "vendor",

@@ -13,6 +13,7 @@ from ledgerlark.functions.money import (
     average_amount,
     cents,
     exceeds_average_by,
+    from_cents,
     percent_above_average,
 )
 from ledgerlark.functions.text import sentence
@@ -38,10 +39,13 @@ class SpendBand:
     high_included: bool = False
 
     def holds(self, spend: Column) -> Column:
-        above = spend >= self.low if self.low_included else spend > self.low
+        """Whether a spend in cents lies in the band."""
+        low = self.low * 100
+        above = spend >= low if self.low_included else spend > low
         if self.high is None:
             return above
-        return above & (spend <= self.high if self.high_included else spend < self.high)
+        high = self.high * 100
+        return above & (spend <= high if self.high_included else spend < high)
 
 
 # The spend bands as computed, and as described.
@@ -99,8 +103,8 @@ def spend_history(
     """Monthly spend with the total and number of the vendor's active months in the frame.
 
     The frame covers ``window_days`` before the month, or ``lookback_months`` calendar months
-    when that is given. The window holds one row per vendor and month. ``cents`` (the month's
-    spend) and ``total`` are whole cents.
+    when that is given. The window holds one row per vendor and month. ``spend`` and ``total``
+    are in cents.
     """
     frame = (
         trailing_days(window_days)
@@ -109,8 +113,8 @@ def spend_history(
     )
     return (
         monthly_spend(invoices, columns)
-        .withColumn("cents", cents(F.col("spend")))
-        .withColumns({"total": F.sum("cents").over(frame), "months": F.count("cents").over(frame)})
+        .withColumn("spend", cents(F.col("spend")))
+        .withColumns({"total": F.sum("spend").over(frame), "months": F.count("spend").over(frame)})
     )
 
 
@@ -119,7 +123,7 @@ def fires(band: SpendBand) -> Column:
         band.holds(F.col("spend"))
         & (F.col("spend") > 0)
         & (F.col("total") > 0)
-        & exceeds_average_by(F.col("cents"), F.col("total"), F.col("months"), band.percent)
+        & exceeds_average_by(F.col("spend"), F.col("total"), F.col("months"), band.percent)
     )
 
 
@@ -159,9 +163,9 @@ def large_months(
         columns=columns,
     )
     large = history.where(reduce(or_, [fires(band) for band in bands or BANDS[rules]]))
-    total, months = F.col("total"), F.col("months")
+    spend, total, months = F.col("spend"), F.col("total"), F.col("months")
     versus = (
-        percent_above_average(F.col("cents"), total, months)
+        percent_above_average(spend, total, months)
         if documented
         else average_amount(total, months)
     )
@@ -172,7 +176,7 @@ def large_months(
             "spend",
             rules,
             vendor=F.col("vendor"),
-            spend=F.col("spend").cast("string"),
+            spend=from_cents(spend).cast("string"),
             versus=versus.cast("string"),
         ).alias("insight_text"),
     )

@@ -48,19 +48,20 @@ def tables(sf_dir):
 
 
 def compare(spark, connection, name, sf_dir):
-    """None if both sides agree, else a description of the difference."""
+    """The difference between both sides, None if they agree, and the number of rows."""
     result = contract.queries()[name](spark, sf_dir)
     ours = rows_of(result.columns, result.collect())
     reply = connection.execute(contract.oracle_sql()[name])
     columns = [d[0] for d in reply.description]
     theirs = rows_of(columns, reply.fetchall())
     if sorted(result.columns) != sorted(columns):
-        return f"columns {sorted(result.columns)} / {sorted(columns)}"
+        return f"columns {sorted(result.columns)} / {sorted(columns)}", len(ours)
     if ours != theirs:
         extra = [row for row in ours if row not in set(theirs)][:3]
         lacking = [row for row in theirs if row not in set(ours)][:3]
-        return f"{len(ours)} / {len(theirs)} rows; only ours {extra}; only theirs {lacking}"
-    return None if ours else "empty result"
+        detail = f"{len(ours)} / {len(theirs)} rows; only ours {extra}; only theirs {lacking}"
+        return detail, len(ours)
+    return (None if ours else "empty result"), len(ours)
 
 
 if __name__ == "__main__":
@@ -73,7 +74,7 @@ if __name__ == "__main__":
     for key in sys.argv[2:] or list(contract.queries()):
         began = time.time()
         try:
-            difference = compare(session, database, key, folder)
+            difference, _ = compare(session, database, key, folder)
         except Exception as error:  # report and go on with the next query
             difference = f"{type(error).__name__}: {str(error)[:600]}"
         bad += difference is not None

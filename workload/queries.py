@@ -11,7 +11,12 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerlark.functions import dates
-from ledgerlark.functions.money import average_amount, exceeds_average_by, percent_above_average
+from ledgerlark.functions.money import (
+    average_amount,
+    exceeds_average_by,
+    from_cents,
+    percent_above_average,
+)
 from ledgerlark.functions.text import TEMPLATES, render
 from ledgerlark.operators import cadence, grid, spend
 from ledgerlark.operators.accrual import accrual_alerts
@@ -308,7 +313,7 @@ def win_range_avg_spend(spark, sf_dir):
         _history(spark, sf_dir).select(
             "vendor",
             "month",
-            "spend",
+            from_cents(F.col("spend")).alias("spend"),
             "months",
             average_amount(F.col("total"), F.col("months")).alias("average_spend"),
         )
@@ -317,8 +322,8 @@ def win_range_avg_spend(spark, sf_dir):
 
 def spend_pct_change(spark, sf_dir):
     """Percent above the trailing average, rounded; zero where it is not above it."""
-    above = exceeds_average_by(F.col("cents"), F.col("total"), F.col("months"), 0)
-    percent = percent_above_average(F.col("cents"), F.col("total"), F.col("months"))
+    above = exceeds_average_by(F.col("spend"), F.col("total"), F.col("months"), 0)
+    percent = percent_above_average(F.col("spend"), F.col("total"), F.col("months"))
     return plain(
         _history(spark, sf_dir).select(
             "vendor",
@@ -347,7 +352,9 @@ def union_spend_bands(spark, sf_dir):
     """The bands as one branch each, united by name: the shape the single OR filter replaces."""
     history = _history(spark, sf_dir)
     branches = [
-        history.where(spend.fires(band)).select("vendor", "month", "spend", F.lit(n).alias("band"))
+        history.where(spend.fires(band)).select(
+            "vendor", "month", from_cents(F.col("spend")).alias("spend"), F.lit(n).alias("band")
+        )
         for n, band in enumerate(spend.BANDS["code"], start=1)
     ]
     return plain(reduce(lambda left, right: left.unionByName(right), branches))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,7 +38,7 @@ def dense_invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def banded_invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M3: line items as invoices of a part's vendor, scaled to reach every spend band."""
-    cents = F.round(F.col("l_extendedprice") * 100).cast("long")
+    cents = F.rint(F.col("l_extendedprice") * 100).cast("long")
     divisor = (
         F.when(F.col("l_orderkey") % 29 == 0, 100)
         .when(F.col("l_orderkey") % 31 == 0, 5)
@@ -47,7 +49,7 @@ def banded_invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_orderkey").cast("string").alias("invoice_id"),
         F.col("l_partkey").cast("string").alias("canonical_vendor_id"),
         F.col("l_shipdate").cast("timestamp").alias("invoice_date"),
-        (scaled / F.lit(100).cast("decimal(3,0)")).cast(MONEY).alias("total_amount"),
+        (scaled.cast("decimal(18,0)") * F.lit(Decimal("0.01"))).cast(MONEY).alias("total_amount"),
     )
 
 

@@ -121,8 +121,8 @@ def test_daily_rows_stop_before_the_end(spark):
     spans = spark.sql(
         """SELECT * FROM VALUES
         ('one', DATE'2020-02-28', DATE'2020-02-29'), ('leap', DATE'2020-02-28', DATE'2020-03-02'),
-        ('none', DATE'2020-02-28', DATE'2020-02-28'), ('reversed', DATE'2020-02-28', DATE'2020-02-01'),
-        ('null', NULL, DATE'2020-02-01') AS t(vendor, start, end)"""
+        ('none', DATE'2020-02-28', DATE'2020-02-28'),
+        ('reversed', DATE'2020-02-28', DATE'2020-02-01'), ('null', NULL, DATE'2020-02-01') AS t(vendor, start, end)"""
     )
     assert found(daily(spans), "vendor", "date") == [
         ("leap", day("2020-02-28")),
@@ -142,9 +142,8 @@ def test_text(spark):
         "`v` generally charges between on 30 day of each month invoices are sent. "
         "On 2020-04-30, an invoice from `v` has not been received."
     )
-    assert found(missing_invoices(table), "canonical_vendor_id", "insight_date", "insight_text") == [
-        ("v", day("2020-04-30"), sentence)
-    ]
+    names = ("canonical_vendor_id", "insight_date", "insight_text")
+    assert found(missing_invoices(table), *names) == [("v", day("2020-04-30"), sentence)]
 
 
 def test_null_vendors_null_ids_and_empty_input(spark):

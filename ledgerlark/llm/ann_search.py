@@ -21,7 +21,7 @@ from ledgerlark.sources.scratch import stored
 
 SAMPLE = 20_000  # bound of the sample that centroids are fitted on
 LISTS = 2048  # bound of the number of lists, and so of the model sent along
-PROBED = 0.4  # share of the lists that a query probes
+PROBED = 0.65  # share of the lists that a query probes; vectors without clusters need this many
 LEAST_PROBED = 16
 BLOCK_ROWS, QUERY_ROWS = 16_384, 8_192
 COLUMNS = 16  # dimensions in a column block

@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import importlib.util
+import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import functions as F
 
@@ -32,7 +35,26 @@ def tokenizer_path(name: str) -> str:
 WORD_TOKENIZER, PIECE_MODEL = "word_bpe_49k.json", "piece_bpe_32k.model"
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark) -> None:
+    """Send the package's sources to the Python workers, once for each application, as
+    ``--py-files`` would: a worker need not have them on its own path."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    root = Path(__file__).resolve().parents[1]
+    archive = Path(tempfile.mkdtemp(prefix="ledgerlark-src-")) / "ledgerlark_src.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for source in sorted(root.rglob("*.py")):
+            out.write(source, source.relative_to(root.parent))
+    context.addPyFile(str(archive))
+    _shipped.add(context.applicationId)
+
+
 def _table(spark, sf_dir, name):
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -97,6 +119,7 @@ def op10_piece_codec(spark, sf_dir):
 def pipeline(spark, sf_dir):
     import corpus_pipeline
 
+    ship_package(spark)
     return corpus_pipeline.run(spark, sf_dir)
 
 

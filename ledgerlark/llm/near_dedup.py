@@ -20,10 +20,11 @@ from ledgerlark.sources.scratch import stored
 
 WORDS = 5
 SIMILAR = 0.8
-REGISTERS, BANDS = 64, 16
+REGISTERS, BANDS, ROWS = 128, 16, 4  # the first 64 registers make the bands
 #: Registers that must agree before two documents of a bucket are compared in the second round. For
-#: pairs at 0.8 the count is 51 on average with a spread of 3.2; weights shift it a little.
-LEAST_AGREEING = 34
+#: pairs at 0.8 the count is 102 on average with a spread of 4.5; weights shift it a little.
+LEAST_AGREEING = 87
+FILTER_BITS = 1 << 26  # bound of the filter over documents to compare: 8 MB
 BLOCK = 200  # documents of a bucket that are compared with as many others at a time
 CHUNK = 2 << 20
 BASE = 0x9E3779B97F4A7C15 | 1
@@ -122,8 +123,8 @@ def prob_minhash(text: np.ndarray, value: np.ndarray, weight: np.ndarray, texts:
     return holder.reshape(texts, registers)
 
 
-def band_keys(holder: np.ndarray, bands: int = BANDS) -> np.ndarray:
-    rows = holder.reshape(len(holder), bands, -1)
+def band_keys(holder: np.ndarray, bands: int = BANDS, size: int = ROWS) -> np.ndarray:
+    rows = holder[:, : bands * size].reshape(len(holder), bands, size)
     key = np.zeros(rows.shape[:2], np.uint64) + mixed(np.arange(1, bands + 1, dtype=np.uint64))
     for i in range(rows.shape[2]):
         key = mixed(key * np.uint64(BASE & MASK) + rows[:, :, i])
@@ -160,7 +161,7 @@ def node_of(text: Column) -> Column:
 
 
 def signatures(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", words: int = WORDS) -> DataFrame:
-    """(doc_id, node, bands, agreed): the band keys and the low 16 bits of each register.
+    """(doc_id, node, bands, agreed): the band keys and the low 8 bits of each register.
 
     A text without words has null bands. Weights are 1 + ln(count): a shingle repeated within a text
     counts for more, but a refrain does not drown the rest."""
@@ -173,28 +174,58 @@ def signatures(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", w
                 text, value, count = _chunk_shingles(chunk, words)
                 holder = prob_minhash(text, value, 1 + np.log(count), len(chunk))
                 some = np.bincount(text, minlength=len(chunk)) > 0
-                keys, low = band_keys(holder), holder.astype(np.uint16).view(np.int16).astype(np.int32)
+                keys, low = band_keys(holder), holder.astype(np.uint8).view(np.int8)
                 rows = batch.slice(chunk[0][0], len(chunk))
                 yield pa.RecordBatch.from_arrays(
                     [
                         rows.column(0),
                         rows.column(1),
                         pa.array([k if s else None for k, s in zip(keys, some, strict=True)], pa.list_(pa.int64())),
-                        pa.array([x if s else None for x, s in zip(low, some, strict=True)], pa.list_(pa.int32())),
+                        pa.array([x if s else None for x, s in zip(low, some, strict=True)], pa.list_(pa.int8())),
                     ],
                     names=["doc_id", "node", "bands", "agreed"],
                 )
 
-    return chosen.mapInArrow(run, f"doc_id {kind}, node binary, bands array<bigint>, agreed array<int>")
+    return chosen.mapInArrow(run, f"doc_id {kind}, node binary, bands array<bigint>, agreed array<tinyint>")
 
 
-def _shingles_of(docs: DataFrame, nodes: DataFrame, doc_id: str, text: str, words: int) -> DataFrame:
-    """(node, shingles) for the given nodes (node, rep): sorted distinct hashes as bytes."""
+def _bitmap(rows: DataFrame, key: Column) -> np.ndarray:
+    """Two bits for each key, in a filter of 16 bits a row but at most ``FILTER_BITS``: the driver gets
+    the words of the bitmap. A full filter only lets more rows through."""
+    bits = min(FILTER_BITS, max(1 << 16, 1 << (16 * rows.count()).bit_length()))
+    at = rows.select(F.explode(F.array(*_places(key, bits))).alias("at"))
+    words = at.groupBy(F.floor(F.col("at") / 32).cast("bigint").alias("word")).agg(
+        F.expr("bit_or(shiftleft(1L, cast(at % 32 as int)))").alias("set")
+    )
+    found = words.toArrow()
+    bitmap = np.zeros(bits // 32, np.uint32)
+    bitmap[found.column("word").to_numpy()] = found.column("set").to_numpy().astype(np.uint32)
+    return bitmap
+
+
+def _places(key: Column, bits: int) -> list[Column]:
+    return [F.pmod(key, F.lit(bits)), F.pmod(F.shiftrightunsigned(key, 32), F.lit(bits))]
+
+
+def _shingles_of(docs: DataFrame, wanted: DataFrame, doc_id: str, text: str, words: int) -> DataFrame:
+    """(node, shingles) for the given rows (node, rep): sorted distinct hashes as bytes.
+
+    A filter picks them where the texts are read, so texts are not shuffled. It may let others
+    through, which later joins drop, and rows equal in id and text come more than once."""
+    sent = docs.sparkSession.sparkContext.broadcast(_bitmap(wanted, F.xxhash64("rep", "node")))
+    bits = 32 * len(sent.value)
     chosen = docs.select(node_of(quoted(text)).alias("node"), quoted(doc_id).alias("doc_id"), quoted(text).alias("text"))
-    wanted = chosen.join(nodes, "node").where(F.col("doc_id").eqNullSafe(F.col("rep"))).select("node", "text")
+    key = F.xxhash64("doc_id", "node")
+    chosen = chosen.select("node", "text", *(c.alias(n) for c, n in zip(_places(key, bits), ("p", "q"), strict=True)))
 
     def run(batches):
+        bitmap = sent.value
         for batch in batches:
+            held = np.ones(batch.num_rows, bool)
+            for i in (2, 3):
+                p = batch.column(i).to_numpy()
+                held &= (bitmap[p >> 5] >> (p & 31).astype(np.uint32)) & 1 == 1
+            batch = batch.filter(pa.array(held))
             for chunk in _in_chunks(batch.column(1)):
                 text, value, _ = _chunk_shingles(chunk, words)
                 cuts = np.searchsorted(text, np.arange(len(chunk) + 1))
@@ -206,8 +237,7 @@ def _shingles_of(docs: DataFrame, nodes: DataFrame, doc_id: str, text: str, word
                     names=["node", "shingles"],
                 )
 
-    found = wanted.mapInArrow(run, "node binary, shingles binary")
-    return found.groupBy("node").agg(F.first("shingles").alias("shingles"))
+    return chosen.mapInArrow(run, "node binary, shingles binary")
 
 
 def jaccard(one: bytes, two: bytes) -> float:
@@ -223,8 +253,9 @@ def jaccard(one: bytes, two: bytes) -> float:
 
 
 def _verified(pairs: DataFrame, shingles: DataFrame, similar: float) -> DataFrame:
-    one = shingles.select(F.col("node").alias("a"), F.col("shingles").alias("one"))
-    two = shingles.select(F.col("node").alias("b"), F.col("shingles").alias("two"))
+    # Joined the same way at every size; a node with very many pairs can be split.
+    one = shingles.select(F.col("node").alias("a"), F.col("shingles").alias("one")).hint("merge")
+    two = shingles.select(F.col("node").alias("b"), F.col("shingles").alias("two")).hint("merge")
     both = pairs.join(one, "a").join(two, "b").select("a", "b", "one", "two")
 
     def run(batches):
@@ -255,9 +286,9 @@ def near_duplicates(
     its own row and takes its own doc_id. Null ids come last as class_id. Repeated rows are rows of
     one class. An empty table gives none.
 
-    Equal texts are one node from the start. In the first round each bucket compares its smallest
-    node with the others, so a group of thousands of near copies takes as many comparisons, not
-    their square. In the second round nodes of a bucket that are still in different classes are
+    Equal texts are one node from the start. In the first round each bucket compares one node, the one
+    that meets most others over all its buckets, with the rest: a text with thousands of near copies
+    takes as many comparisons, not their square. In the second round nodes of a bucket that are still in different classes are
     compared, all of them, in blocks of ``BLOCK`` by ``BLOCK``; only those that agree in enough
     registers and are not in one class already become pairs. So no cap is put on a bucket.
     """
@@ -270,10 +301,17 @@ def near_duplicates(
         "nodes",
     )
     members = nodes.select("node", F.explode("bands").alias("band"))
-    buckets = members.groupBy("band").agg(F.min("node").alias("first"), F.count(F.lit(1)).alias("size"))
-    buckets = stored(buckets.where("size > 1"), "buckets")
-    shared = stored(members.join(buckets, "band"), "shared-buckets")
-    pairs = shared.where(F.col("node") != F.col("first")).select(F.col("first").alias("a"), F.col("node").alias("b"))
+    sizes = stored(members.groupBy("band").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "buckets")
+    shared = stored(members.join(sizes, "band"), "shared-buckets")
+    # The text that others were copied from meets more of them than they meet each other.
+    met = stored(shared.groupBy("node").agg(F.sum("size").alias("met")), "met")
+    first = shared.join(met, "node").groupBy("band").agg(F.max(F.struct("met", "node"))["node"].alias("first"))
+    firsts = stored(first, "firsts")
+    pairs = (
+        shared.join(firsts, "band")
+        .where(F.col("node") != F.col("first"))
+        .select(F.least("first", "node").alias("a"), F.greatest("first", "node").alias("b"))
+    )
     links = _similar_links(docs, nodes, pairs.distinct(), doc_id, text, words, similar)
     roots = stored(components(links), "roots")
 

@@ -259,13 +259,16 @@ def missing_invoices(
 ) -> DataFrame:
     """One alert per vendor and day on which an expected invoice is outstanding.
 
-    ``as_of`` (a date, or its ISO text) sets the current date and hides later invoices; by
-    default the newest invoice date in the table is current.
+    ``as_of`` (a date, or its ISO text) sets the current date and hides later invoices; no alert
+    is dated after it. By default the newest invoice date in the table is current, and alerts go
+    to the end of its cadence.
     """
     options = {"as_of": as_of, "rules": rules, "columns": columns}
     misses = either_cadence(
         monthly_misses(invoices, **options), quarterly_misses(invoices, **options)
     )
+    if as_of:
+        misses = misses.withColumn("end", F.least("end", F.date_add(_given(as_of), 1)))
     return daily(misses).select(
         F.col("vendor").alias("canonical_vendor_id"),
         F.col("date").alias("insight_date"),

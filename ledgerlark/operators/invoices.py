@@ -14,7 +14,8 @@ from operator import and_
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlark.schema import MONEY, InvoiceColumns
+from ledgerlark.functions.money import exact_amount
+from ledgerlark.schema import InvoiceColumns
 
 
 def latest_invoice_dates(invoices: DataFrame, columns: InvoiceColumns) -> DataFrame:
@@ -27,13 +28,13 @@ def latest_invoice_dates(invoices: DataFrame, columns: InvoiceColumns) -> DataFr
 def invoice_amounts(invoices: DataFrame, columns: InvoiceColumns) -> DataFrame:
     """One row per (vendor, invoice, date) with the largest amount among its copies.
 
-    Amounts that are not a number of cents (NaN, infinity) count as absent.
+    Amounts have six decimals; NaN and infinity count as absent, and what does not fit raises.
     """
     return invoices.groupBy(
         F.col(columns.vendor).alias("vendor"),
         F.col(columns.invoice).alias("invoice"),
         F.col(columns.date).alias("issued"),
-    ).agg(F.max(F.col(columns.amount).try_cast(MONEY)).alias("amount"))
+    ).agg(F.max(exact_amount(F.col(columns.amount), invoices.schema[columns.amount].dataType)).alias("amount"))
 
 
 def last_service_days(line_items: DataFrame, columns: InvoiceColumns) -> DataFrame:

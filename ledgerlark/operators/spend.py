@@ -11,10 +11,11 @@ from pyspark.sql import functions as F
 
 from ledgerlark.functions.money import (
     average_amount,
-    cents,
+    UNITS,
     exceeds_average_by,
-    from_cents,
-    percent_above_average,
+    from_units,
+    percent_change,
+    units,
 )
 from ledgerlark.functions.text import sentence
 from ledgerlark.operators.invoices import invoice_amounts
@@ -39,12 +40,12 @@ class SpendBand:
     high_included: bool = False
 
     def holds(self, spend: Column) -> Column:
-        """Whether a spend in cents lies in the band."""
-        low = self.low * 100
+        """Whether a spend in units lies in the band."""
+        low = F.lit(self.low * UNITS)
         above = spend >= low if self.low_included else spend > low
         if self.high is None:
             return above
-        high = self.high * 100
+        high = F.lit(self.high * UNITS)
         return above & (spend <= high if self.high_included else spend < high)
 
 
@@ -104,7 +105,7 @@ def spend_history(
 
     The frame covers ``window_days`` before the month, or ``lookback_months`` calendar months
     when that is given. The window holds one row per vendor and month. ``spend`` and ``total``
-    are in cents.
+    are in units.
     """
     frame = (
         trailing_days(window_days)
@@ -113,7 +114,7 @@ def spend_history(
     )
     return (
         monthly_spend(invoices, columns)
-        .withColumn("spend", cents(F.col("spend")))
+        .withColumn("spend", units(F.col("spend")))
         .withColumns({"total": F.sum("spend").over(frame), "months": F.count("spend").over(frame)})
     )
 
@@ -165,7 +166,7 @@ def large_months(
     large = history.where(reduce(or_, [fires(band) for band in bands or BANDS[rules]]))
     spend, total, months = F.col("spend"), F.col("total"), F.col("months")
     versus = (
-        percent_above_average(spend, total, months)
+        percent_change(spend, total, months)
         if documented
         else average_amount(total, months)
     )
@@ -176,7 +177,7 @@ def large_months(
             "spend",
             rules,
             vendor=F.col("vendor"),
-            spend=from_cents(spend).cast("string"),
+            spend=from_units(spend).cast("string"),
             versus=versus.cast("string"),
         ).alias("insight_text"),
     )

@@ -10,7 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-MONEY = T.DecimalType(18, 2)
+#: Amounts keep six decimals, so usage-priced invoices of fractions of a cent add up.
+MONEY = T.DecimalType(24, 6)
 
 ALERT_SCHEMA = T.StructType(
     [
@@ -96,7 +97,7 @@ class TableSpec:
 
         def typed(column: T.StructField) -> Column:
             source = F.col(f"`{column.name}`")
-            if on_bad_value == "null" and isinstance(df.schema[column.name].dataType, T.StringType):
+            if on_bad_value == "null":
                 return source.try_cast(column.dataType).alias(column.name)
             return source.cast(column.dataType).alias(column.name)
 

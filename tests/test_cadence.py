@@ -161,3 +161,9 @@ def test_null_vendors_null_ids_and_empty_input(spark):
         span("present", "2020-04-01", "2020-04-10", "2020-04-12")
     ]
     assert missing_invoices(table.limit(0)).count() == 0
+
+
+def test_no_alert_after_the_stated_day(spark):
+    steady = invoices(spark, *[("v", f"i{m}", f"2020-{m:02}-05") for m in (1, 2, 3)])
+    dates = [r[0] for r in found(missing_invoices(steady, as_of="2020-04-10"), "insight_date")]
+    assert dates and str(max(dates)) == "2020-04-10"

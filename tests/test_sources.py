@@ -1,11 +1,13 @@
-from datetime import datetime
+from datetime import date, datetime
 from decimal import Decimal
 
 import pytest
 from pyspark.sql import types as T
 
 import ledgerlark as ll
-from ledgerlark.schema import require_types
+from ledgerlark.operators.alerts import with_names
+from ledgerlark.schema import ALERT_SCHEMA, TableSpec, require_types
+from ledgerlark.sources.sinks import read_alerts, write_alerts
 from ledgerlark.sources.tables import checkpoint_folder
 from tests.helpers import found, invoices
 
@@ -29,7 +31,7 @@ def test_declared_types_and_order(spark, tmp_path):
     assert df.columns == ["invoice_id", "total_amount", "lines", "invoice_date"]
     assert [f.dataType for f in df.schema] == [
         T.StringType(),
-        T.DecimalType(18, 2),
+        T.DecimalType(24, 6),
         T.IntegerType(),
         T.TimestampType(),
     ]
@@ -47,7 +49,7 @@ def test_bad_values_become_null_or_fail(spark, tmp_path):
         (None, None, None, None),
         ("00123", Decimal("10.10"), 4, datetime(2020, 1, 31, 10)),
         ("a", None, None, None),
-        ("b", Decimal("2.35"), 1, datetime(2020, 1, 31)),
+        ("b", Decimal("2.345"), 1, datetime(2020, 1, 31)),
     ]
     with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
         ll.read_typed(spark, path, SPEC, on_bad_value="fail").collect()
@@ -198,3 +200,22 @@ def test_incomplete_config(spark, tmp_path):
         ll.run_config(spark, settings)
     with pytest.raises(ValueError, match="Data must map"):
         ll.run_config(spark, {**config(tmp_path), "Data": ["x"]})
+
+
+def test_alerts_come_back_as_written(spark, tmp_path):
+    texts = [" inv1 ", "a\nb", "a\r\nb", 'q"u"', "", None, "\\", "\\n", "\\\\n", "\\N", ",", "é"]
+    rows = [(str(n), date(2020, 1, 1), t, 1, 2, t, t) for n, t in enumerate(texts)]
+    alerts = spark.createDataFrame(rows, ALERT_SCHEMA)
+    write_alerts(alerts, str(tmp_path / "csv"))
+    assert sorted(map(tuple, read_alerts(spark, str(tmp_path / "csv")).collect()), key=lambda r: int(r[0])) == rows
+    named = with_names(alerts.where("glean_text is not null"))
+    for kind in ("csv", "parquet"):
+        write_alerts(named, str(tmp_path / f"named-{kind}"), kind)
+        back = read_alerts(spark, str(tmp_path / f"named-{kind}"), kind, named=True)
+        assert sorted(map(tuple, back.collect())) == sorted(map(tuple, named.collect()))
+
+
+def test_null_policy_holds_for_any_source(spark, tmp_path):
+    spark.sql("SELECT '1' AS id, CAST(1e30 AS DOUBLE) AS amount").write.parquet(str(tmp_path / "p"))
+    spec = TableSpec(string_columns=("id",), float_columns=("amount",))
+    assert ll.read_typed(spark, str(tmp_path / "p"), spec, format="parquet").collect()[0]["amount"] is None

@@ -1,4 +1,8 @@
+import pytest
+from pyspark.sql import functions as F
+
 from ledgerlark import large_months
+from ledgerlark.functions.money import average_amount, percent_change
 from tests.helpers import day, found, invoices
 
 
@@ -126,3 +130,40 @@ def test_documented_lookback_is_calendar_months(spark):
         ("v", day("2021-01-01")),
         ("v", day("2022-02-01")),
     ]
+
+
+def test_fractions_of_a_cent_add_up(spark):
+    """3,000 invoices of 4 units of a thousandth make 12 a month; none is rounded to nothing."""
+    history = [("v", f"h{m}", f"2020-{m:02}-01", "10") for m in range(1, 10)]
+    table = invoices(spark, *history).withColumn("total_amount", F.col("total_amount").cast("double"))
+    many = spark.range(3_000_000).select(
+        F.lit("v").alias("canonical_vendor_id"),
+        F.col("id").cast("string").alias("invoice_id"),
+        F.lit("2020-10-05").cast("timestamp").alias("invoice_date"),
+        F.lit(0.004).alias("total_amount"),
+        F.lit(None).cast("timestamp").alias("period_end_date"),
+    )
+    alerts = large_months(table.unionByName(many))
+    assert "$12000.00" in found(alerts, "insight_text")[0][0]
+
+
+def test_huge_amounts_alert_and_what_does_not_fit_raises(spark):
+    def table(amount):
+        small = invoices(spark, *[("v", f"i{m}", f"2020-{m:02}-01", "10") for m in range(1, 10)])
+        big = invoices(spark, ("v", "big", "2020-10-01"))
+        wide = [df.withColumn("total_amount", F.col("total_amount").cast("double")) for df in (small, big)]
+        return wide[0].unionByName(wide[1].withColumn("total_amount", F.lit(amount)))
+
+    assert large_months(table(1e16)).count() == 1
+    assert large_months(table(float("nan"))).count() == 0
+    with pytest.raises(Exception, match="does not fit"):
+        large_months(table(1e30)).count()
+
+
+def test_rounding_and_change_of_either_sign(spark):
+    rows = [(-50_000, 3, 10_000), (50_000, 3, 10_000), (-5_000, 1, 0), (5_000, 1, 0), (10**6, 4, 10**5)]
+    df = spark.createDataFrame(rows, "total long, months long, spend long")
+    average = average_amount(F.col("total"), F.col("months"))
+    assert [str(r[0]) for r in df.select(average).collect()] == ["-0.02", "0.02", "-0.01", "0.01", "0.25"]
+    change = percent_change(F.col("spend"), F.col("total"), F.col("months"))
+    assert [str(r[0]) for r in df.where("total > 0 and spend > 0").select(change).collect()] == ["-40.00", "-60.00"]

@@ -524,9 +524,7 @@ FROM history_month""",
         _cell_history("month", 3),
         select="""
 SELECT vendor, cadence, n_invoices, n_invoices_lag_1, n_invoices_lag_2, n_invoices_lag_3
-FROM history_month
-WHERE n_invoices_lag_1 IS NOT NULL AND n_invoices_lag_2 IS NOT NULL
-  AND n_invoices_lag_3 IS NOT NULL""",
+FROM history_month""",
     ),
     "spend_pct_change": _with(
         M3,
@@ -535,7 +533,9 @@ WHERE n_invoices_lag_1 IS NOT NULL AND n_invoices_lag_2 IS NOT NULL
         HISTORY,
         select=f"""
 SELECT vendor, month,
-       CASE WHEN s > 0 AND e * n > s THEN CAST({_PERCENT} AS DOUBLE) / 100 ELSE 0.0 END
+       CASE WHEN s > 0 AND e > 0
+            THEN sign(e * n - s) * CAST((20000 * abs(e * n - s) + s) // (2 * s) AS DOUBLE) / 100
+            ELSE 0.0 END
          AS percent_above
 FROM history""",
     ),

@@ -13,9 +13,8 @@ from pyspark.sql import functions as F
 from ledgerlark.functions import dates
 from ledgerlark.functions.money import (
     average_amount,
-    exceeds_average_by,
-    from_cents,
-    percent_above_average,
+    from_units,
+    percent_change,
 )
 from ledgerlark.functions.text import TEMPLATES, render
 from ledgerlark.operators import cadence, grid, spend
@@ -313,7 +312,7 @@ def win_range_avg_spend(spark, sf_dir):
         _history(spark, sf_dir).select(
             "vendor",
             "month",
-            from_cents(F.col("spend")).alias("spend"),
+            from_units(F.col("spend")).alias("spend"),
             "months",
             average_amount(F.col("total"), F.col("months")).alias("average_spend"),
         )
@@ -321,14 +320,14 @@ def win_range_avg_spend(spark, sf_dir):
 
 
 def spend_pct_change(spark, sf_dir):
-    """Percent above the trailing average, rounded; zero where it is not above it."""
-    above = exceeds_average_by(F.col("spend"), F.col("total"), F.col("months"), 0)
-    percent = percent_above_average(F.col("spend"), F.col("total"), F.col("months"))
+    """Percent above or below the trailing average, rounded; zero unless both are positive."""
+    positive = (F.col("spend") > 0) & (F.col("total") > 0)
+    percent = percent_change(F.col("spend"), F.col("total"), F.col("months"))
     return plain(
         _history(spark, sf_dir).select(
             "vendor",
             "month",
-            F.when((F.col("total") > 0) & above, percent).otherwise(0).alias("percent_above"),
+            F.when(positive, percent).otherwise(0).alias("percent_above"),
         )
     )
 
@@ -353,7 +352,7 @@ def union_spend_bands(spark, sf_dir):
     history = _history(spark, sf_dir)
     branches = [
         history.where(spend.fires(band)).select(
-            "vendor", "month", from_cents(F.col("spend")).alias("spend"), F.lit(n).alias("band")
+            "vendor", "month", from_units(F.col("spend")).alias("spend"), F.lit(n).alias("band")
         )
         for n, band in enumerate(spend.BANDS["code"], start=1)
     ]
@@ -378,8 +377,7 @@ def win_rows_collect_set(spark, sf_dir):
 def win_multi_lag(spark, sf_dir):
     lags = [f"n_invoices_lag_{step}" for step in (1, 2, 3)]
     cells = _cells_with_history(spark, sf_dir)
-    complete = reduce(lambda left, right: left & right, [F.col(c).isNotNull() for c in lags])
-    return cells.where(complete).select("vendor", "cadence", "n_invoices", *lags)
+    return cells.select("vendor", "cadence", "n_invoices", *lags)
 
 
 # --- set operations and scalar functions -------------------------------------------------------

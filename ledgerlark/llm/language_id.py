@@ -134,17 +134,19 @@ def train(
     """Fit on at most ``per_language`` texts of each of at most ``languages`` languages.
 
     Only rows that are not held out, with a non-null language and a text with a letter, are looked
-    at. The sample is the rows with the smallest hash of id and text: the thresholds come from
-    hashes alone, cut to ``per_language`` in every task before they are shuffled. What reaches the
-    driver is bounded by the sample and the table of grams, however long the texts are.
+    at. The sample is the rows with the smallest hash of id and text, each once: the thresholds come
+    from hashes alone, cut to ``per_language`` in every task before they meet by language. What
+    reaches the driver is bounded by the sample and the table of grams, however long the texts are.
     """
     usable = docs.select(quoted(doc_id).alias("doc_id"), quoted(text).alias("text"), quoted(lang).alias("lang")).where(
         ~held_out(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")
     )
-    usable = usable.withColumn("h", F.xxhash64("doc_id", F.length("text")))
+    usable = usable.withColumn("h", F.xxhash64("doc_id", "text"))
     smallest = W.partitionBy("lang").orderBy("h")
+    # Repeated rows share a hash and count once, here and in the sample, so they can't swell it.
     picked = (
         usable.select("lang", "h")
+        .distinct()
         .withColumn("n", F.row_number().over(smallest))
         .where(F.col("n") <= per_language)
         .groupBy("lang")
@@ -169,6 +171,7 @@ def train(
 
     sample = (
         usable.where(F.col("h") <= F.element_at(most, F.col("lang")))
+        .dropDuplicates(["lang", "h"])
         .select("lang", "text")
         .mapInArrow(run, "lang string, at binary, value binary")
         .collect()

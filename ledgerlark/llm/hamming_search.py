@@ -19,7 +19,8 @@ from pyspark.sql import functions as F
 from ledgerlark.llm.vectors import distinct_values, ranked, usable_vectors
 from ledgerlark.sources.scratch import stored
 
-SHARD_ROWS = 65_536
+SHARD_ROWS, QUERY_ROWS = 65_536, 2_048
+MOST_TASKS = 20_000
 MOST_SEGMENT_BITS = 16
 
 
@@ -122,9 +123,10 @@ def nearest_codes(codes: DataFrame, queries, *, k: int = 10, name: str = "vec_id
     lengths those of the query's length count. Equal rows count once; equal codes are searched once.
     An empty table gives no results.
 
-    Distinct codes are dealt into shards of about ``SHARD_ROWS``. Every query goes to every shard and
-    meets its index there; an index and a batch of queries are in memory, nothing else. The nearest
-    of all shards together are the nearest of all.
+    Distinct codes are dealt into shards of about ``SHARD_ROWS``, distinct queries into portions of
+    about ``QUERY_ROWS``. Every portion meets the index of every shard, so no group's work grows with
+    the table; an index and a batch of queries are in memory, nothing else. The nearest of all shards
+    together are the nearest of all.
     """
     spark = codes.sparkSession
     rows = codes.select("id", "code").where("id is not null and code is not null and length(code) > 0").distinct()
@@ -132,11 +134,22 @@ def nearest_codes(codes: DataFrame, queries, *, k: int = 10, name: str = "vec_id
     n = distinct.count()
     shards = 1 + n // SHARD_ROWS
     asking = stored(rows.where(queries(F.col("id"))).select(F.col("id").alias("query_id"), "code"), "asking")
+    asked = stored(asking.select("code").distinct(), "asked-codes")
+    portions = 1 + asked.count() // QUERY_ROWS
+
+    def every(count: int):
+        return F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
+
     held = distinct.select(
-        F.pmod(F.xxhash64("vid"), F.lit(shards)).cast("int").alias("shard"), F.lit(False).alias("asks"), "vid", "code"
+        F.pmod(F.xxhash64("vid"), F.lit(shards)).cast("int").alias("shard"),
+        every(portions).alias("portion"),
+        F.lit(False).alias("asks"),
+        "vid",
+        "code",
     )
-    sent = asking.select("code").distinct().select(
-        F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"),
+    sent = asked.select(
+        every(shards).alias("shard"),
+        F.pmod(F.xxhash64("code"), F.lit(portions)).cast("int").alias("portion"),
         F.lit(True).alias("asks"),
         F.lit(None).cast("struct<id: bigint, h: bigint>").alias("vid"),
         "code",
@@ -144,38 +157,44 @@ def nearest_codes(codes: DataFrame, queries, *, k: int = 10, name: str = "vec_id
     met = (
         held.unionByName(sent)
         .withColumn("size", F.length("code"))
-        .repartition(shards, "shard", "size")
-        .sortWithinPartitions("shard", "size", "asks")
+        .repartition(min(MOST_TASKS, shards * portions), "shard", "portion", "size")
+        .sortWithinPartitions("shard", "portion", "size", "asks")
     )
 
     def run(batches):
-        key, waiting, ids, index = None, [], [], None
+        key, waiting, index = None, [], None
         for batch in batches:
-            shard, asks, vid, code, size = (batch.column(i).to_pylist() for i in range(5))
-            out_q, out_v, out_d = [], [], []
+            shard, portion, asks, code, size = (batch.column(i).to_pylist() for i in (0, 1, 2, 4, 5))
+            vid_id, vid_h = batch.column(3).flatten()
+            out_q, out_v, out_h, out_d = [], [], [], []
             for i in range(batch.num_rows):
-                if (shard[i], size[i]) != key:
-                    key, waiting, ids, index = (shard[i], size[i]), [], [], None
+                if (shard[i], portion[i], size[i]) != key:
+                    key, waiting, index = (shard[i], portion[i], size[i]), [], None
                 if not asks[i]:
-                    waiting.append(code[i])
-                    ids.append(vid[i])
+                    waiting.append((code[i], vid_id[i].as_py(), vid_h[i].as_py()))
                     continue
                 if index is None and waiting:
-                    index = SegmentIndex(np.frombuffer(b"".join(waiting), np.uint8).reshape(len(waiting), -1))
+                    codes, ids, hashes = zip(*waiting, strict=True)
+                    ids, hashes = np.array(ids, np.int64), np.array(hashes, np.int64)
+                    index = SegmentIndex(np.frombuffer(b"".join(codes), np.uint8).reshape(len(codes), -1))
                 if index is None:
                     continue
                 at, distance = index.search(np.frombuffer(code[i], np.uint8), k + 1)
-                if len(at) > k + 1:  # ties: the smallest ids suffice
-                    order = sorted(range(len(at)), key=lambda x: (distance[x], ids[at[x]]["id"]))[: k + 1]
-                    at, distance = at[order], distance[order]
+                # Of ties, the smallest ids suffice.
+                order = np.lexsort((hashes[at], ids[at], distance))[: k + 1]
+                at, distance = at[order], distance[order]
                 out_q += [code[i]] * len(at)
-                out_v += [ids[a] for a in at]
-                out_d += distance.tolist()
+                out_v.append(ids[at])
+                out_h.append(hashes[at])
+                out_d.append(distance)
+            if not out_q:
+                continue
+            found = [pa.array(np.concatenate(x)) for x in (out_v, out_h)]
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(out_q, pa.binary()),
-                    pa.array(out_v, pa.struct([("id", pa.int64()), ("h", pa.int64())])),
-                    pa.array(out_d, pa.int32()),
+                    pa.StructArray.from_arrays(found, names=["id", "h"]),
+                    pa.array(np.concatenate(out_d).astype(np.int32)),
                 ],
                 names=["query", "vid", "distance"],
             )

@@ -36,6 +36,7 @@ TABLE_BITS = 16  # for each gram length
 PER_LANGUAGE = 800  # bound of the training sample: texts for each language
 LANGUAGES = 200  # bound of the classes: the most frequent ones
 CHUNK = 1 << 20
+HASHES = 1 << 31  # the top 31 bits of a hash are compared with a threshold
 
 
 def family_of(lang: str) -> str:
@@ -134,30 +135,30 @@ def train(
     """Fit on at most ``per_language`` texts of each of at most ``languages`` languages.
 
     Only rows that are not held out, with a non-null language and a text with a letter, are looked
-    at. The sample is the rows with the smallest hash of id and text, each once: the thresholds come
-    from hashes alone, cut to ``per_language`` in every task before they meet by language. What
-    reaches the driver is bounded by the sample and the table of grams, however long the texts are.
+    at. The sample is the rows with the smallest hash of id and text, each once. Hashes are evenly
+    spread, so a language's count of them gives a threshold that somewhat more than ``per_language``
+    lie under; only those few meet by language. What reaches the driver is bounded by the sample and
+    the table of grams, however long the texts are.
     """
     usable = docs.select(quoted(doc_id).alias("doc_id"), quoted(text).alias("text"), quoted(lang).alias("lang")).where(
         ~held_out(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")
     )
     usable = usable.withColumn("h", F.xxhash64("doc_id", "text"))
-    smallest = W.partitionBy("lang").orderBy("h")
     # Repeated rows share a hash and count once, here and in the sample, so they can't swell it.
     picked = (
         usable.select("lang", "h")
         .distinct()
-        .withColumn("n", F.row_number().over(smallest))
-        .where(F.col("n") <= per_language)
         .groupBy("lang")
-        .agg(F.max("h").alias("most"), F.count(F.lit(1)).alias("n"))
+        .agg(F.count(F.lit(1)).alias("n"))
         .orderBy(F.desc("n"), "lang")
         .limit(languages)
         .collect()
     )
     if not picked:
         return LanguageModel((), (), np.zeros((0, 0), np.float32), np.zeros(0))
-    most = F.create_map(*(F.lit(x) for row in picked for x in (row["lang"], row["most"])))
+    wanted = per_language + 6 * per_language**0.5  # the count under a threshold varies
+    shares = ((row["lang"], min(1.0, wanted / row["n"])) for row in picked)
+    most = F.create_map(*(F.lit(x) for lang, share in shares for x in (lang, int(share * HASHES))))
 
     def run(batches):
         for batch in batches:
@@ -170,8 +171,10 @@ def train(
             )
 
     sample = (
-        usable.where(F.col("h") <= F.element_at(most, F.col("lang")))
+        usable.where(F.shiftrightunsigned("h", 33) < F.element_at(most, F.col("lang")))
         .dropDuplicates(["lang", "h"])
+        .withColumn("n", F.row_number().over(W.partitionBy("lang").orderBy(F.shiftrightunsigned("h", 33), "h")))
+        .where(F.col("n") <= per_language)
         .select("lang", "text")
         .mapInArrow(run, "lang string, at binary, value binary")
         .collect()

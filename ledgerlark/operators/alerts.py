@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 from enum import IntEnum
 from functools import reduce
 
@@ -113,16 +113,16 @@ def combine(alerts: Iterable[DataFrame], spark: SparkSession | None = None) -> D
     return union.select(*ALERT_SCHEMA.names)
 
 
-def with_names(alerts: DataFrame) -> DataFrame:
-    """Replace the type and location codes by their documented names."""
+def with_names(alerts: DataFrame, types: Mapping[int, str] = TYPE_NAMES) -> DataFrame:
+    """Replace the type and location codes by their names; ``types`` has those of the types."""
 
-    def named(code: str, names: dict[int, str]) -> Column:
+    def named(code: str, names: Mapping[int, str]) -> Column:
         pairs = [F.lit(item) for pair in names.items() for item in pair]
         return F.try_element_at(F.create_map(*pairs), F.col(code))
 
     return alerts.withColumns(
         {
-            "glean_type": named("glean_type", TYPE_NAMES),
+            "glean_type": named("glean_type", types),
             "glean_location": named("glean_location", LOCATION_NAMES),
         }
     )

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
 from ledgerlark.operators.accrual import accrual_alerts
+from ledgerlark.operators import alerts as base
 from ledgerlark.operators.alerts import AlertLocation, AlertType
 from ledgerlark.operators.cadence import missing_invoices
 from ledgerlark.operators.dormant import dormant_vendors
@@ -55,3 +57,18 @@ def register_signal(name: str, signal: Signal) -> None:
     if name in SIGNALS or signal.alert_type in {s.alert_type for s in SIGNALS.values()}:
         raise ValueError(f"detector {name!r} or type {signal.alert_type} is already registered")
     SIGNALS[name] = signal
+
+
+def type_names() -> dict[int, str]:
+    """Names of all registered types; a detector of your own goes by its name in lower case with
+    underscores between words."""
+    return {
+        int(signal.alert_type): base.TYPE_NAMES.get(signal.alert_type)
+        or re.sub(r"(?<=[a-z0-9])(?=[A-Z])", "_", name).lower()
+        for name, signal in SIGNALS.items()
+    }
+
+
+def with_names(alerts: DataFrame) -> DataFrame:
+    """Replace the type and location codes by their names, those of registered detectors included."""
+    return base.with_names(alerts, type_names())

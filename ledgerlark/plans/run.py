@@ -8,8 +8,8 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerlark.operators.alerts import combine, conform
-from ledgerlark.plans.registry import SIGNALS
-from ledgerlark.schema import TableSpec
+from ledgerlark.plans.registry import SIGNALS, with_names
+from ledgerlark.schema import InvoiceColumns, TableSpec
 from ledgerlark.sources.sinks import read_alerts, write_alerts
 from ledgerlark.sources.tables import checkpoint_folder, read_typed, stage
 
@@ -26,7 +26,8 @@ def run_signals(
     """Run detectors and combine their alerts. Nothing is executed until the result is used.
 
     ``signals`` maps detector names to arguments; arguments that take a table give its name in
-    ``tables``, all others (such as ``window``) are passed on.
+    ``tables``, all others (such as ``window``) are passed on; ``columns`` may be a mapping, as a
+    configuration has it.
     """
     unknown = sorted(set(signals) - set(SIGNALS))
     if unknown:
@@ -39,7 +40,9 @@ def run_signals(
             raise ValueError(f"{name} needs: {', '.join(absent)}")
         call: dict[str, Any] = {"rules": rules} if signal.takes_rules else {}
         for argument, value in arguments.items():
-            if argument not in signal.tables:
+            if argument == "columns" and isinstance(value, Mapping):
+                call[argument] = InvoiceColumns(**value)
+            elif argument not in signal.tables:
                 call[argument] = value
             elif value in tables:
                 call[signal.tables[argument]] = tables[value]
@@ -90,13 +93,15 @@ def execute_config(spark: SparkSession, config: Mapping[str, Any], **options) ->
     """Run a configuration, write its alerts to ``OutputPath`` and return them as written.
 
     CSV sources are staged (see ``run_config``) wherever the session names a checkpoint folder.
+    By ``rules="documented"``, types and locations are written by name.
     """
     _require_sections(config)
     options.setdefault("staged", checkpoint_folder(spark) is not None)
     output_format = config.get("OutputFormat", "csv")
     alerts = run_config(spark, config, **options)
-    write_alerts(alerts, config["OutputPath"], output_format)
-    return read_alerts(spark, config["OutputPath"], output_format)
+    named = options.get("rules") == "documented"
+    write_alerts(with_names(alerts) if named else alerts, config["OutputPath"], output_format)
+    return read_alerts(spark, config["OutputPath"], output_format, named=named)
 
 
 def _require_sections(config: Mapping[str, Any]) -> None:

@@ -117,6 +117,7 @@ def test_a_detector_of_ones_own(tables):
     try:
         alerts = ll.run_signals(tables, {"Unpaid": {**INVOICES_ONLY, "floor": 1000}})
         assert found(alerts, "glean_type", "invoice_id", "glean_text") == [(5, None, "large")]
+        assert found(ll.with_names(alerts), "glean_type", "glean_location") == [("unpaid", "vendor")]
         with pytest.raises(ValueError, match="already registered"):
             ll.register_signal("Again", signal)
     finally:

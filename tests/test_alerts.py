@@ -142,6 +142,14 @@ def test_other_column_names(tables):
             assert expected and found(detect(*other, rules=rules, columns=names), *keys) == expected
 
 
+def test_column_names_as_a_mapping(tables):
+    renamed = tables["inv"].withColumnsRenamed({"canonical_vendor_id": "supplier"})
+    settings = {"VendorNotSeenInAWhile": {**INVOICES_ONLY, "columns": {"vendor": "supplier"}}}
+    given = {"VendorNotSeenInAWhile": INVOICES_ONLY}
+    names = ll.ALERT_SCHEMA.names
+    assert found(ll.run_signals({"inv": renamed}, settings), *names) == found(ll.run_signals(tables, given), *names)
+
+
 @pytest.mark.parametrize("kind", ["date", "timestamp_ntz"])
 def test_other_date_types(tables, kind):
     cast = {

@@ -219,3 +219,14 @@ def test_null_policy_holds_for_any_source(spark, tmp_path):
     spark.sql("SELECT '1' AS id, CAST(1e30 AS DOUBLE) AS amount").write.parquet(str(tmp_path / "p"))
     spec = TableSpec(string_columns=("id",), float_columns=("amount",))
     assert ll.read_typed(spark, str(tmp_path / "p"), spec, format="parquet").collect()[0]["amount"] is None
+
+
+def test_documented_config_run_writes_names(spark, tmp_path):
+    result = ll.execute_config(spark, config(tmp_path), rules="documented")
+    kinds = found(result, "glean_type", "glean_location")
+    assert kinds and set(kinds) <= {
+        ("vendor_not_seen_in_a_while", "invoice"),
+        ("accrual_alert", "invoice"),
+        ("large_month_increase_mtd", "vendor"),
+        ("no_invoice_received", "vendor"),
+    }

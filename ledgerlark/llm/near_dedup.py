@@ -26,7 +26,8 @@ REGISTERS, BANDS, ROWS = 256, 16, 4  # the first 64 registers make the bands
 LEAST_AGREEING = 184
 FILTER_BITS = 1 << 26  # bound of the filter over documents to compare: 8 MB
 BLOCK = 200  # documents of a bucket that are compared with as many others at a time
-CHUNK = 2 << 20
+CHUNK = 2 << 20  # bytes of text whose shingles a worker holds at a time
+PART = 256 << 10  # bytes of text that it hashes at a time, which takes fifty times as much memory
 BASE = 0x9E3779B97F4A7C15 | 1
 MASK = (1 << 64) - 1
 _powers: dict[str, np.ndarray] = {}
@@ -57,8 +58,8 @@ def normal_form(text: str | None) -> bytes:
 def _stretches(data: bytes, words: int):
     """A very long text in parts that overlap by ``words`` - 1 words, so no shingle is lost."""
     start = 0
-    while len(data) - start > CHUNK:
-        end = data.find(b" ", start + CHUNK)
+    while len(data) - start > PART:
+        end = data.find(b" ", start + PART)
         if end < 0:
             break
         yield data[start:end]
@@ -105,6 +106,7 @@ def prob_minhash(text: np.ndarray, value: np.ndarray, weight: np.ndarray, texts:
     """The shingle in each register of each text (texts x registers); rows without shingles are 0."""
     earliest = np.full(texts * registers, np.inf)
     holder = np.zeros(texts * registers, np.uint64)
+    latest = np.full(texts, np.inf)
     at = np.zeros(len(value))
     seed = mixed(value + np.uint64(BASE & MASK))
     step = 0
@@ -117,7 +119,8 @@ def prob_minhash(text: np.ndarray, value: np.ndarray, weight: np.ndarray, texts:
         np.minimum.at(earliest, place, at)
         holds = earliest[place] == at
         holder[place[holds]] = value[holds]
-        latest = earliest.reshape(texts, registers).max(1)
+        some = np.flatnonzero(np.bincount(text, minlength=texts))
+        latest[some] = earliest.reshape(texts, registers)[some].max(1)
         going = at < latest[text]
         text, value, weight, at, seed = text[going], value[going], weight[going], at[going], seed[going]
     return holder.reshape(texts, registers)
@@ -145,14 +148,35 @@ def _in_chunks(values):
         yield chunk
 
 
+def _parts(chunk):
+    """Runs of texts of a chunk of about PART bytes: (place of the first, texts)."""
+    first, part, size = 0, [], 0
+    for i, (_, data) in enumerate(chunk):
+        if part and size + len(data) > PART:
+            yield first, part
+            first, part, size = i, [], 0
+        part.append(data)
+        size += len(data)
+    if part:
+        yield first, part
+
+
+def _long_shingles(data: bytes, words: int):
+    """As ``shingle_hashes`` of one very long text, in stretches."""
+    parts = [shingle_hashes([s], words) for s in _stretches(data, words)]
+    value, back = np.unique(np.concatenate([p[1] for p in parts]), return_inverse=True)
+    count = np.bincount(back, np.concatenate([p[2] for p in parts])).astype(np.int64)
+    return np.zeros(len(value), np.int64), value, count
+
+
 def _chunk_shingles(chunk, words: int):
-    """As ``shingle_hashes`` over the texts of a chunk, a very long one in stretches."""
-    if len(chunk) == 1 and len(chunk[0][1]) > 2 * CHUNK:
-        parts = [shingle_hashes([s], words) for s in _stretches(chunk[0][1], words)]
-        value, back = np.unique(np.concatenate([p[1] for p in parts]), return_inverse=True)
-        count = np.bincount(back, np.concatenate([p[2] for p in parts])).astype(np.int64)
-        return np.zeros(len(value), np.int64), value, count
-    return shingle_hashes([data for _, data in chunk], words)
+    """As ``shingle_hashes`` over the texts of a chunk."""
+    found = []
+    for first, part in _parts(chunk):
+        long = len(part) == 1 and len(part[0]) > 2 * PART
+        text, value, count = _long_shingles(part[0], words) if long else shingle_hashes(part, words)
+        found.append((text + first, value, count))
+    return tuple(map(np.concatenate, zip(*found, strict=True)))
 
 
 def node_of(text: Column) -> Column:

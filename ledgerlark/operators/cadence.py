@@ -53,7 +53,6 @@ def active_months_with_days(
     )
     return per_day.groupBy("vendor", F.trunc("day", "month").alias("cadence")).agg(
         F.min("day").alias("first_day"),
-        (F.sum("n") > 0).alias("billed"),
         F.min("lowest").alias("lowest"),
         F.max("highest").alias("highest"),
         F.collect_list(F.struct(F.dayofmonth("day").alias("day"), "n")).alias("day_counts"),
@@ -184,7 +183,12 @@ def _active(
     months = active_months_with_days if rules == "documented" else active_months
     # One exchange by vendor serves both cadences and all their windows. It comes after the
     # aggregation, so a vendor contributes at most one row per calendar month to it.
-    return months(invoices, columns).repartition("vendor")
+    active = months(invoices, columns).repartition("vendor")
+    if rules != "documented":
+        return active
+    # Both ids say whether a month was billed, so the monthly cadence reads the same columns as the
+    # quarterly one. With fewer, its exchange could not be shared and all before it would run twice.
+    return active.withColumn("billed", F.coalesce(F.col("lowest") <= F.col("highest"), F.lit(False)))
 
 
 def monthly_misses(

@@ -1,4 +1,4 @@
-"""The driver's order tables seen as invoices and line items (mappings M1 to M3)."""
+"""The driver's order tables seen as invoices and line items (mappings M1 to M4)."""
 
 from __future__ import annotations
 
@@ -53,6 +53,28 @@ def banded_invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def untidy_invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M4: times of day, missing vendors and dates, credit notes, amounts of less than a cent, copies,
+    and invoices that come again three days later."""
+    key = F.col("o_orderkey")
+    again = F.filter(
+        F.array(F.lit(0), F.when(key % 5 == 0, 3), F.when(key % 7 == 0, 0)), lambda days: days.isNotNull()
+    )
+    clock = F.make_dt_interval(F.col("later"), (key % 24).cast("int"), (key % 60).cast("int"))
+    millionths = F.rint(F.col("o_totalprice") * 100).cast("decimal(18,0)") * 137
+    signed = F.when(key % 11 == 0, -millionths).otherwise(millionths)
+    return (
+        _table(spark, sf_dir, "orders")
+        .withColumn("later", F.explode(again))
+        .select(
+            key.cast("string").alias("invoice_id"),
+            F.when(key % 97 != 0, (F.col("o_custkey") % 300).cast("string")).alias("canonical_vendor_id"),
+            F.when(key % 89 != 0, F.col("o_orderdate").cast("timestamp") + clock).alias("invoice_date"),
+            (signed * F.lit(Decimal("0.000001"))).cast(MONEY).alias("total_amount"),
+        )
+    )
+
+
 def line_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").cast("string").alias("invoice_id"),

@@ -30,6 +30,17 @@ inv AS (
                        WHEN l_orderkey % 31 = 0 THEN 5 ELSE 2000 END) AS DECIMAL(18,2))
            * CAST(0.01 AS DECIMAL(3,2)) AS amount
   FROM lineitem)"""
+#: Amounts in whole millionths.
+M4 = """
+inv AS (
+  SELECT CASE WHEN o_orderkey % 97 <> 0 THEN CAST(o_custkey % 300 AS VARCHAR) END AS vendor,
+         CAST(o_orderkey AS VARCHAR) AS invoice,
+         CASE WHEN o_orderkey % 89 <> 0
+              THEN o_orderdate + to_hours(CAST(o_orderkey % 24 AS INTEGER))
+                   + to_minutes(CAST(o_orderkey % 60 AS INTEGER)) + to_days(later) END AS issued,
+         CAST(round(o_totalprice * 100) AS BIGINT) * 137
+           * CASE WHEN o_orderkey % 11 = 0 THEN -1 ELSE 1 END AS amount
+  FROM orders JOIN (VALUES (1, 0), (5, 3), (7, 0)) AS copies(every, later) ON o_orderkey % every = 0)"""
 LINES = """
 lines AS (
   SELECT CAST(l_orderkey AS VARCHAR) AS invoice,
@@ -41,7 +52,7 @@ LATEST = """
 latest AS (SELECT vendor, invoice, max(issued) AS issued FROM inv GROUP BY vendor, invoice)"""
 LAGGED = """
 lagged AS (
-  SELECT *, lag(issued) OVER (PARTITION BY vendor ORDER BY issued, invoice) AS previous
+  SELECT *, lag(issued) OVER (PARTITION BY vendor ORDER BY issued NULLS FIRST, invoice) AS previous
   FROM latest)"""
 
 
@@ -104,6 +115,26 @@ history AS (
   FROM monthly
   WINDOW w AS (PARTITION BY vendor ORDER BY month
                RANGE BETWEEN INTERVAL 365 DAYS PRECEDING AND CURRENT ROW))"""
+HISTORY_MILLIONTHS = """
+history AS (
+  SELECT *, spend AS e, sum(spend) OVER w AS s, count(spend) OVER w AS n
+  FROM monthly WHERE month IS NOT NULL
+  WINDOW w AS (PARTITION BY vendor ORDER BY month
+               RANGE BETWEEN INTERVAL 365 DAYS PRECEDING AND CURRENT ROW))"""
+LARGE_MILLIONTHS = """
+cents AS (
+  SELECT vendor, month, (2 * e + 10000) // 20000 AS e,
+         (2 * s + 10000 * n) // (20000 * n) AS average
+  FROM history
+  WHERE s > 0 AND (e > 10000000000 AND 2 * e * n > 3 * s
+                   OR e > 1000000000 AND e < 10000000000 AND e * n > 3 * s
+                   OR e > 100000000 AND e < 1000000000 AND e * n > 6 * s)),
+large AS (
+  SELECT vendor AS canonical_vendor_id, month AS insight_date,
+         'Monthly spend with `' || vendor || '` is $' || (e // 100) || '.'
+           || lpad(CAST(e % 100 AS VARCHAR), 2, '0') || ' (' || (average // 100) || '.'
+           || lpad(CAST(average % 100 AS VARCHAR), 2, '0') || '%) higher than average.' AS insight_text
+  FROM cents)"""
 HISTORY_12_BEFORE = """
 history AS (
   SELECT *, CAST(spend * 100 AS HUGEINT) AS e,
@@ -537,6 +568,54 @@ SELECT vendor, month,
             THEN sign(e * n - s) * CAST((20000 * abs(e * n - s) + s) // (2 * s) AS DOUBLE) / 100
             ELSE 0.0 END
          AS percent_above
+FROM history""",
+    ),
+    "sig_dormant_vendor_untidy": _with(
+        M4, LATEST, LAGGED, _dormant(), select=f"SELECT {_INSIGHT} FROM dormant"
+    ),
+    "sig_large_month_untidy": _with(
+        M4, AMOUNTS, MONTHLY, HISTORY_MILLIONTHS, LARGE_MILLIONTHS, select="SELECT * FROM large"
+    ),
+    "sig_no_invoice_untidy": _with(
+        M4, MISSES, _missing(), select=f"SELECT {_VENDOR_INSIGHT} FROM missing"
+    ),
+    "sig_no_invoice_untidy_documented": _with(
+        M4,
+        DOCUMENTED_MISSES,
+        _missing("documented"),
+        select=f"SELECT {_VENDOR_INSIGHT} FROM missing",
+    ),
+    "win_lag_invoice_date_untidy": _with(
+        M4,
+        LATEST,
+        LAGGED,
+        select="""
+SELECT vendor, invoice, strftime(issued, '%Y-%m-%d %H:%M:%S') AS issued,
+       strftime(previous, '%Y-%m-%d %H:%M:%S') AS previous
+FROM lagged""",
+    ),
+    "win_range_avg_spend_untidy": _with(
+        M4,
+        AMOUNTS,
+        MONTHLY,
+        HISTORY_MILLIONTHS,
+        select="""
+SELECT vendor, month, sign(e) * CAST((2 * abs(e) + 10000) // 20000 AS DOUBLE) / 100 AS spend,
+       n AS months,
+       sign(s) * CAST((2 * abs(s) + 10000 * n) // (20000 * n) AS DOUBLE) / 100 AS average_spend
+FROM history""",
+    ),
+    "spend_pct_change_untidy": _with(
+        M4,
+        AMOUNTS,
+        MONTHLY,
+        HISTORY_MILLIONTHS,
+        select="""
+SELECT vendor, month,
+       CASE WHEN s > 0 AND e > 0
+            THEN sign(e * n - s) * CAST((20000 * abs(e * n - s) + s) // (2 * s) AS DOUBLE) / 100
+            ELSE 0.0 END
+         AS percent_above
 FROM history""",
     ),
     "spend_bands": _with(
@@ -595,7 +674,7 @@ SELECT invoice AS invoice_id, CAST(issued AS DATE) AS as_date, CAST(issued AS DA
        CAST(epoch({_MONTH}) AS BIGINT) AS month_seconds,
        CASE WHEN day(issued) <= day(last_day({_NEXT_MONTH}))
             THEN {_NEXT_MONTH} + CAST(day(issued) - 1 AS INTEGER)
-            ELSE DATE '1900-01-01' END AS same_day_next_month,
+            END AS same_day_next_month,
        least({_NEXT_MONTH} + CAST(day(issued) - 1 AS INTEGER), last_day({_NEXT_MONTH}))
          AS same_day_clamped,
        {_NEXT_MONTH} + 27 AS parsed_day

@@ -35,7 +35,13 @@ from ledgerlark.schema import InvoiceColumns, TableSpec
 from ledgerlark.sources.calendar import calendar, calendar_bounds
 from ledgerlark.sources.sinks import read_alerts, write_alerts
 from ledgerlark.sources.tables import checkpoint_folder, read_typed
-from workload.mappings import banded_invoices, dense_invoices, line_items, sparse_invoices
+from workload.mappings import (
+    banded_invoices,
+    dense_invoices,
+    line_items,
+    sparse_invoices,
+    untidy_invoices,
+)
 
 NAMES = InvoiceColumns()
 
@@ -87,6 +93,22 @@ def sig_dormant_vendor_dense(spark, sf_dir):
     return dormant_vendors(dense_invoices(spark, sf_dir))
 
 
+def sig_dormant_vendor_untidy(spark, sf_dir):
+    return dormant_vendors(untidy_invoices(spark, sf_dir))
+
+
+def sig_large_month_untidy(spark, sf_dir):
+    return spend.large_months(untidy_invoices(spark, sf_dir))
+
+
+def sig_no_invoice_untidy(spark, sf_dir):
+    return cadence.missing_invoices(untidy_invoices(spark, sf_dir))
+
+
+def sig_no_invoice_untidy_documented(spark, sf_dir):
+    return cadence.missing_invoices(untidy_invoices(spark, sf_dir), rules="documented")
+
+
 def sig_accrual(spark, sf_dir):
     alerts = accrual_alerts(sparse_invoices(spark, sf_dir), line_items(spark, sf_dir))
     return alerts.drop("insight_key")
@@ -303,13 +325,20 @@ def filter_has_previous(spark, sf_dir):
     return plain(with_previous_invoice(latest).where(F.col("previous").isNotNull()))
 
 
+def win_lag_invoice_date_untidy(spark, sf_dir):
+    """With times of day, as texts to the second."""
+    latest = latest_invoice_dates(untidy_invoices(spark, sf_dir), NAMES)
+    moments = [F.date_format(c, "yyyy-MM-dd HH:mm:ss").alias(c) for c in ("issued", "previous")]
+    return with_previous_invoice(latest).select("vendor", "invoice", *moments)
+
+
 def _history(spark, sf_dir):
     return spend.spend_history(banded_invoices(spark, sf_dir))
 
 
-def win_range_avg_spend(spark, sf_dir):
+def _averages(history):
     return plain(
-        _history(spark, sf_dir).select(
+        history.select(
             "vendor",
             "month",
             from_units(F.col("spend")).alias("spend"),
@@ -319,12 +348,12 @@ def win_range_avg_spend(spark, sf_dir):
     )
 
 
-def spend_pct_change(spark, sf_dir):
+def _percents(history):
     """Percent above or below the trailing average, rounded; zero unless both are positive."""
     positive = (F.col("spend") > 0) & (F.col("total") > 0)
     percent = percent_change(F.col("spend"), F.col("total"), F.col("months"))
     return plain(
-        _history(spark, sf_dir).select(
+        history.select(
             "vendor",
             "month",
             F.when(positive, percent).otherwise(0).alias("percent_above"),
@@ -332,6 +361,22 @@ def spend_pct_change(spark, sf_dir):
     )
 
 
+def win_range_avg_spend(spark, sf_dir):
+    return _averages(_history(spark, sf_dir))
+
+
+def win_range_avg_spend_untidy(spark, sf_dir):
+    return _averages(spend.spend_history(untidy_invoices(spark, sf_dir)))
+
+
+def spend_pct_change(spark, sf_dir):
+    return _percents(_history(spark, sf_dir))
+
+
+def spend_pct_change_untidy(spark, sf_dir):
+    return _percents(spend.spend_history(untidy_invoices(spark, sf_dir)))
+
+
 def spend_bands(spark, sf_dir):
     """Alerts per band, counted in one pass."""
     fired = [
@@ -411,9 +456,7 @@ def fn_dates(spark, sf_dir):
         F.date_add(day, 90).alias("plus_90"),
         F.date_format(day, "yyyy-MM-dd").alias("day_text"),
         F.unix_timestamp(month).alias("month_seconds"),
-        F.coalesce(
-            dates.day_in_month(next_month, F.dayofmonth(day)), F.lit("1900-01-01").cast("date")
-        ).alias("same_day_next_month"),
+        dates.day_in_month(next_month, F.dayofmonth(day)).alias("same_day_next_month"),
         dates.day_in_month_clamped(next_month, F.dayofmonth(day)).alias("same_day_clamped"),
         F.try_to_date(
             F.concat_ws("-", F.year(next_month), F.month(next_month), F.lit(28))
@@ -452,6 +495,10 @@ QUERIES: dict[str, Query] = {
         sig_from_config,
         sig_dormant_vendor,
         sig_dormant_vendor_dense,
+        sig_dormant_vendor_untidy,
+        sig_large_month_untidy,
+        sig_no_invoice_untidy,
+        sig_no_invoice_untidy_documented,
         sig_accrual,
         sig_accrual_documented,
         sig_large_month,
@@ -482,7 +529,10 @@ QUERIES: dict[str, Query] = {
         distinct_vendors,
         win_lag_invoice_date,
         filter_has_previous,
+        win_lag_invoice_date_untidy,
         win_range_avg_spend,
+        win_range_avg_spend_untidy,
+        spend_pct_change_untidy,
         win_rows_min_first,
         win_rows_collect_set,
         win_multi_lag,

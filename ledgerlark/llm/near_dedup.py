@@ -56,18 +56,19 @@ def normal_form(text: str | None) -> bytes:
 
 
 def _stretches(data: bytes, words: int):
-    """A very long text in parts that overlap by ``words`` - 1 words, so no shingle is lost."""
-    start = 0
-    while len(data) - start > PART:
-        end = data.find(b" ", start + PART)
-        if end < 0:
+    """A very long text in parts that overlap by ``words`` - 1 words, so no shingle is lost or made twice.
+
+    Each part has a shingle's words at least, however long they are, and the next begins at a later word."""
+    blanks = np.flatnonzero(np.frombuffer(data, np.uint8) == 32)
+    starts, ends = np.concatenate([[0], blanks + 1]), np.concatenate([blanks, [len(data)]])
+    first = 0
+    while True:
+        last = max(int(np.searchsorted(ends, starts[first] + PART)), first + words - 1)
+        if last >= len(ends) - 1:
             break
-        yield data[start:end]
-        start = end
-        for _ in range(words - 1):
-            start = data.rfind(b" ", 0, start)
-        start += 1
-    yield data[start:]
+        yield data[starts[first] : ends[last]]
+        first = last - words + 2
+    yield data[starts[first] :]
 
 
 def shingle_hashes(texts: list[bytes], words: int = WORDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 from collections import defaultdict
+from itertools import islice
 
 import numpy as np
 import pytest
@@ -185,6 +186,21 @@ def test_long_texts_in_stretches(monkeypatch):
     assert (parts[1] == whole[1]).all()
 
 
+def test_long_runs_in_stretches(monkeypatch):
+    monkeypatch.setattr(near_dedup, "PART", 200)
+    runs, prose = ["x" * 450, "y" * 450], words(150, 5)
+    for text in (
+        runs[0], f"Image: {runs[0]} {prose}", f"a b c d e {runs[0]} {prose}", f"{prose} {runs[0]} {prose} {runs[1]} a",
+        f"{runs[0]} {prose}", f"{prose} {runs[0]}", " ".join(runs * 6), f"a {runs[0]} b {runs[1]}",
+    ):
+        whole = near_dedup.shingle_hashes([text.encode()])
+        for stretch in islice(near_dedup._stretches(text.encode(), 5), 1000):
+            assert len(stretch.split()) >= min(5, len(text.split()))
+        assert sum(1 for _ in islice(near_dedup._stretches(text.encode(), 5), 1000)) < 1000
+        for got, want in zip(near_dedup._long_shingles(text.encode(), 5), whole, strict=True):
+            assert got.tolist() == want.tolist()
+
+
 # --- tokens ----------------------------------------------------------------------------------------
 
 BITS = ["a", "b", "  ", "   ", " ", "\n", "\n\n", "é", "e\u0301", "▁", "▁▁", "벨", "ゼx", "the", " the", "\t", "\0", "<s>",

@@ -303,12 +303,13 @@ def _similar_links(docs, nodes, pairs, doc_id, text, words, similar) -> DataFram
 def near_duplicates(
     docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", words: int = WORDS, similar: float = SIMILAR
 ) -> DataFrame:
-    """One row for each row of ``docs``: doc_id, node (its text's digest), class_id.
+    """One row for each row of ``docs``: doc_id, node (its text's digest), class_id, root (the class's
+    smallest node, which names it uniquely), worded.
 
     Texts are linked if their sets of five-word shingles (lower case, white space as one blank) have a
     Jaccard similarity of at least ``similar``; linked texts, directly or through others, and equal
     texts are a class. class_id is the class's smallest doc_id. A text without words is a class of
-    its own row and takes its own doc_id. Null ids come last as class_id. Repeated rows are rows of
+    its own row, takes its own doc_id and has no root. Null ids come last as class_id. Repeated rows are rows of
     one class. An empty table gives none.
 
     Equal texts are one node from the start. In the first round each bucket compares one node, the one
@@ -352,9 +353,13 @@ def near_duplicates(
 
     classes = nodes.join(roots, "node", "left").select("node", "rep", F.coalesce("root", "node").alias("root"))
     least = stored(classes.groupBy("root").agg(F.min("rep").alias("class_id")), "classes")
-    named = stored(classes.join(least, "root").select("node", "class_id"), "class-of-node")
+    named = stored(classes.join(least, "root").select("node", "root", "class_id"), "class-of-node")
     return found.select("doc_id", "node", F.col("bands").isNotNull().alias("worded")).join(named, "node", "left").select(
-        "doc_id", "node", F.when(F.col("worded"), F.col("class_id")).otherwise(F.col("doc_id")).alias("class_id"), "worded"
+        "doc_id",
+        "node",
+        F.when(F.col("worded"), F.col("class_id")).otherwise(F.col("doc_id")).alias("class_id"),
+        "root",
+        "worded",
     )
 
 
@@ -386,9 +391,10 @@ def _block_pairs(rows: DataFrame) -> DataFrame:
 def drop_near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """The rows of ``docs``, all columns, one for each class: the one with the smallest doc_id.
 
-    Rows without words all stay, but for repeats equal in id and text."""
+    Classes go by their root: ids may be null, or stand on several texts. Rows without words all stay,
+    but for repeats equal in id and text."""
     found = stored(near_duplicates(docs, doc_id=doc_id, text=text, **options), "near-classes")
-    winners = found.where("worded").groupBy("class_id").agg(
+    winners = found.where("worded").groupBy("root").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id"), F.col("node"))).alias("w")
     )
     keep = winners.select("w.doc_id", "w.node").union(found.where("not worded").select("doc_id", "node").distinct())

@@ -165,6 +165,15 @@ def test_near_duplicates(spark):
     assert near_dedup.near_duplicates(docs(spark)).count() == 0
 
 
+def test_classes_with_null_and_shared_ids(spark):
+    a, b, c, d, e = (words(60, 300 + i) for i in range(5))
+    rows = [(None, a), (None, a), (None, b), (None, b + " tail"), (None, c), (1, d), (1, e), (2, e), (None, ""), (None, "")]
+    left = [(r["doc_id"], r["text"]) for r in near_dedup.drop_near_duplicates(docs(spark, *rows)).collect()]
+    # Of b and its near copy, which have no ids, either stays.
+    assert sorted(t.removesuffix(" tail") for _, t in left) == sorted([a, b, c, d, e, ""])
+    assert {i for i, t in left if t in (d, e)} == {1}
+
+
 def test_registers_estimate_similarity():
     a, b = words(500, 1), edited(words(500, 1), 2, 0.04)
     text, value, count = near_dedup.shingle_hashes([near_dedup.normal_form(t) for t in (a, b)])

@@ -74,17 +74,19 @@ def _stretches(data: bytes, words: int):
 def shingle_hashes(texts: list[bytes], words: int = WORDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(text number, hash, count) of the distinct shingles of normal forms, sorted by the first two.
 
-    A text with fewer words than a shingle is one shingle; one without words has none. Hashes have
-    48 bits."""
+    A text with fewer words than a shingle is one shingle; one without words has none. Texts end where
+    their lengths say, as U+0000 may stand in a word. Hashes have 48 bits."""
     owner = [i for i, t in enumerate(texts) if t]
     if not owner:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64)
     data = np.frombuffer(b"\x00".join(texts[i] for i in owner) + b"\x00", np.uint8)
     n = len(data)
-    gap = (data == 32) | (data == 0)
+    limits = np.cumsum([len(texts[i]) + 1 for i in owner]) - 1
+    gap = data == 32
+    gap[limits] = True
     ends = np.flatnonzero(gap)
     starts = np.concatenate([[0], ends[:-1] + 1])
-    text = np.cumsum(data[ends] == 0) - (data[ends] == 0)
+    text = np.searchsorted(limits, ends)
     powers, inverse = _power_table(BASE, n + 1), _power_table(pow(BASE, -1, 1 << 64), n + 1)
     sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers[:n])])
     counts = np.bincount(text, minlength=len(owner))

@@ -165,6 +165,19 @@ def test_near_duplicates(spark):
     assert near_dedup.near_duplicates(docs(spark)).count() == 0
 
 
+def test_shingles_of_texts_with_nul(spark):
+    texts = ["a\0b c d e f g", "\0", "", words(20, 1), "\0 a\0", "a b c d e f g", f"{words(20, 2)} \0\0 {words(20, 3)}", "z"]
+    forms = [near_dedup.normal_form(t) for t in texts]
+    text, value, count = near_dedup.shingle_hashes(forms)
+    for i, form in enumerate(forms):
+        _, alone, times = near_dedup.shingle_hashes([form])
+        assert len(alone) == len(shingles(texts[i]))
+        assert value[text == i].tolist() == alone.tolist() and count[text == i].tolist() == times.tolist()
+    rows = list(enumerate([*texts, texts[6] + " tail"]))
+    found = near_dedup.near_duplicates(docs(spark, *((i, t) for i, t in rows if t))).collect()
+    assert sorted((r["doc_id"], r["class_id"]) for r in found) == sorted(classes_of([x for x in rows if x[1]]))
+
+
 def test_classes_with_null_and_shared_ids(spark):
     a, b, c, d, e = (words(60, 300 + i) for i in range(5))
     rows = [(None, a), (None, a), (None, b), (None, b + " tail"), (None, c), (1, d), (1, e), (2, e), (None, ""), (None, "")]

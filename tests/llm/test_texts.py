@@ -165,6 +165,19 @@ def test_near_duplicates(spark):
     assert near_dedup.near_duplicates(docs(spark)).count() == 0
 
 
+def test_refrains_of_any_length(spark):
+    """Pairs of the same shingles, or 0.8 of them and more, repeated very differently often."""
+    rows = []
+    for i in range(30):
+        start, refrain = words(100, 400 + i), words(20, 500 + i) + " "
+        for text in (f"{start} {refrain * 2}", f"{start} {refrain * (1 + 999 * (i < 15))}{refrain} end{i}"):
+            rows.append((len(rows), text))
+        rows.append((len(rows), words(30, 600 + i) + f" {refrain * 900}"))
+    found = near_dedup.near_duplicates(docs(spark, *rows)).collect()
+    assert sorted((r["doc_id"], r["class_id"]) for r in found) == sorted(classes_of(rows))
+    assert len({r["class_id"] for r in found}) == 60
+
+
 def test_shingles_of_texts_with_nul(spark):
     texts = ["a\0b c d e f g", "\0", "", words(20, 1), "\0 a\0", "a b c d e f g", f"{words(20, 2)} \0\0 {words(20, 3)}", "z"]
     forms = [near_dedup.normal_form(t) for t in texts]

@@ -10,6 +10,8 @@ and the Jaccard similarity of the shingle sets themselves decides.
 
 from __future__ import annotations
 
+from math import ceil, comb, log
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -21,10 +23,9 @@ from ledgerlark.sources.scratch import stored
 
 WORDS = 5
 SIMILAR = 0.8
-REGISTERS, BANDS, ROWS = 256, 16, 4  # the first 64 registers make the bands
-#: Registers that must agree before two documents of a bucket are compared in the second round. For
-#: pairs at 0.8 the count is 205 on average with a spread of 6.4, so 0.0007 of them have fewer.
-LEAST_AGREEING = 184
+REGISTERS, BANDS, ROWS = 256, 16, 4  # at 0.8 the first 64 registers make the bands
+#: Share of the pairs just similar enough that share no band, and that the second round takes for less.
+MISSED_BY_BANDS, MISSED_BY_COUNT = 0.00025, 0.001
 FILTER_BITS = 1 << 26  # bound of the filter over documents to compare: 8 MB
 BLOCK = 200  # documents of a bucket that are compared with as many others at a time
 CHUNK = 2 << 20  # bytes of text whose shingles a worker holds at a time
@@ -138,6 +139,30 @@ def band_keys(holder: np.ndarray, bands: int = BANDS, size: int = ROWS) -> np.nd
     return key.view(np.int64)
 
 
+def banding(similar: float) -> tuple[int, int]:
+    """(bands, rows): as many rows as let the registers propose pairs of this similarity surely enough."""
+    if not 0 < similar <= 1:
+        raise ValueError("the similarity must be above 0 and at most 1")
+    for rows in range(ROWS, 0, -1):
+        bands = 1 if similar == 1 else ceil(log(MISSED_BY_BANDS) / log(1 - similar**rows))
+        if bands * rows <= REGISTERS:
+            return bands, rows
+    raise ValueError(f"{REGISTERS} registers are too few to find pairs of similarity {similar}")
+
+
+def least_agreeing(similar: float) -> int:
+    """Registers that must agree before two documents of a bucket are compared in the second round.
+
+    For pairs at 0.8 the count is 205 on average with a spread of 6.4, so 0.0007 of them have fewer
+    than 184."""
+    fewer = 0.0
+    for n in range(REGISTERS):
+        fewer += comb(REGISTERS, n) * similar**n * (1 - similar) ** (REGISTERS - n)
+        if fewer > MISSED_BY_COUNT:
+            return n
+    return REGISTERS
+
+
 def _in_chunks(values):
     """Lists of (number in the batch, normal form) of about CHUNK bytes."""
     chunk, size = [], 0
@@ -188,13 +213,16 @@ def node_of(text: Column) -> Column:
     return F.substring(F.unhex(F.sha2(F.coalesce(text, F.lit("")), 256)), 1, 16)
 
 
-def signatures(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", words: int = WORDS) -> DataFrame:
+def signatures(
+    docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", words: int = WORDS, similar: float = SIMILAR
+) -> DataFrame:
     """(doc_id, node, bands, agreed): the band keys and the low 8 bits of each register.
 
     A text without words has null bands. A shingle weighs 1 however often it is repeated: links are
     defined on sets, and weights by count would keep texts that differ in a refrain's length apart."""
     chosen = docs.select(quoted(doc_id).alias("doc_id"), node_of(quoted(text)).alias("node"), quoted(text).alias("text"))
     kind = chosen.schema["doc_id"].dataType.simpleString()
+    bands, size = banding(similar)
 
     def run(batches):
         for batch in batches:
@@ -202,7 +230,7 @@ def signatures(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", w
                 text, value, _ = _chunk_shingles(chunk, words)
                 holder = prob_minhash(text, value, np.ones(len(value)), len(chunk))
                 some = np.bincount(text, minlength=len(chunk)) > 0
-                keys, low = band_keys(holder), holder.astype(np.uint8).view(np.int8)
+                keys, low = band_keys(holder, bands, size), holder.astype(np.uint8).view(np.int8)
                 rows = batch.slice(chunk[0][0], len(chunk))
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -319,9 +347,10 @@ def near_duplicates(
     that meets most others over all its buckets, with the rest: a text with thousands of near copies
     takes as many comparisons, not their square. In the second round nodes of a bucket that are still in different classes are
     compared, all of them, in blocks of ``BLOCK`` by ``BLOCK``; only those that agree in enough
-    registers and are not in one class already become pairs. So no cap is put on a bucket.
+    registers and are not in one class already become pairs. So no cap is put on a bucket. Bands and
+    register count are those for ``similar``; one too low for the registers (under 0.04) raises.
     """
-    found = stored(signatures(docs, doc_id=doc_id, text=text, words=words), "signatures")
+    found = stored(signatures(docs, doc_id=doc_id, text=text, words=words, similar=similar), "signatures")
     worded = found.where(F.col("bands").isNotNull())
     nodes = stored(
         worded.groupBy("node").agg(
@@ -350,7 +379,7 @@ def near_duplicates(
     open_rows = stored(
         rooted.join(mixed_buckets, "band").join(nodes.select("node", "agreed", "bands"), "node"), "open-rows"
     )
-    more = _block_pairs(open_rows)
+    more = _block_pairs(open_rows, least_agreeing(similar))
     further = _similar_links(docs, nodes, more, doc_id, text, words, similar)
     roots = stored(components(links.union(further)), "roots")
 
@@ -366,7 +395,7 @@ def near_duplicates(
     )
 
 
-def _block_pairs(rows: DataFrame) -> DataFrame:
+def _block_pairs(rows: DataFrame, least: int) -> DataFrame:
     """Pairs of nodes of one bucket and different roots that agree in enough registers."""
     blocks = (1 + F.floor(F.col("size") / BLOCK)).cast("int")
     dealt = rows.withColumn("block", F.pmod(F.xxhash64("node"), blocks).cast("int")).withColumn(
@@ -384,7 +413,7 @@ def _block_pairs(rows: DataFrame) -> DataFrame:
         (F.col("one.band") == F.col("two.band")) & (F.col("one.i") == F.col("two.i")) & (F.col("one.j") == F.col("two.j"))
         & (F.col("one.node") < F.col("two.node")) & (F.col("one.root") != F.col("two.root"))
         & ((F.col("one.i") == F.col("one.j")) | (F.col("one.block") != F.col("two.block")))
-        & (agree >= LEAST_AGREEING)
+        & (agree >= least)
         # Of the buckets that two nodes share, one makes their pair.
         & (F.array_min(F.array_intersect("one.bands", "two.bands")) == F.col("one.band"))
     )

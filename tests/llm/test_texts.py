@@ -4,7 +4,7 @@ import hashlib
 import random
 import re
 from collections import defaultdict
-from itertools import islice
+from itertools import combinations, islice
 
 import numpy as np
 import pytest
@@ -165,6 +165,23 @@ def test_near_duplicates(spark):
     assert near_dedup.near_duplicates(docs(spark)).count() == 0
 
 
+def test_other_similarities(spark):
+    assert near_dedup.banding(0.8) == (near_dedup.BANDS, near_dedup.ROWS) and near_dedup.least_agreeing(0.8) == 184
+    for similar in (0.05, 0.2, 0.4, 0.6, 0.95, 1):
+        bands, size = near_dedup.banding(similar)
+        assert bands * size <= near_dedup.REGISTERS and (1 - similar**size) ** bands <= 0.00025
+        assert near_dedup.least_agreeing(similar) <= 256 * similar
+    for similar in (0, 0.03, 1.1, -1):
+        with pytest.raises(ValueError):
+            near_dedup.banding(similar)
+    rows = [edited(words(200, 700 + i // 5), i, 0.025) for i in range(150)]  # fives, about 0.6 from each other
+    found = near_dedup.near_duplicates(docs(spark, *rows), similar=0.6).collect()
+    class_of, sets = {r["doc_id"]: r["class_id"] for r in found}, list(map(shingles, rows))
+    links = [(i, j) for i, j in combinations(range(150), 2) if len(sets[i] & sets[j]) >= 0.6 * len(sets[i] | sets[j])]
+    assert len(links) > 100 and [p for p in links if class_of[p[0]] != class_of[p[1]]] == []
+    assert all(i // 5 == least // 5 for i, least in class_of.items())
+
+
 def test_refrains_of_any_length(spark):
     """Pairs of the same shingles, or 0.8 of them and more, repeated very differently often."""
     rows = []

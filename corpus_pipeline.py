@@ -20,8 +20,11 @@ def _as_before(docs: DataFrame, changed: DataFrame) -> DataFrame:
 
 
 def keep_identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Language ID: rows whose text has no letter to tell a language by go."""
+    """Language ID: rows whose text has no letter to tell a language by go, and no others, also where
+    no language could be learned."""
     model = language_id.train(docs)
+    if not model.languages:
+        return docs.where(language_id.lettered(F.col("text")))
     name = fresh(docs, "lang_pred")
     found = language_id.identify(docs, model)
     return found.where(quoted(name) != language_id.UNDETERMINED).select(*map(quoted, docs.columns))

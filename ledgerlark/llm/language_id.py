@@ -70,6 +70,10 @@ def has_letter(text: str | None) -> bool:
     return bool(text) and any(map(str.isalpha, text))
 
 
+def lettered(text: Column) -> Column:
+    return F.udf(has_letter, "boolean")(text)
+
+
 @dataclass(frozen=True)
 class LanguageModel:
     """Decisions (winner if positive, winner if negative, among families or in a family)."""

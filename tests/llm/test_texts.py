@@ -368,6 +368,15 @@ def test_pipeline_stages(spark):
     assert corpus_pipeline.run(spark, SF).count() > 0
 
 
+def test_language_stage_without_labels(spark):
+    table = docs(spark, None, "", "123 !?", "hello the world", "и 1", "٣ ⅷ", "ª").withColumn("lang", F.lit(None).cast("string"))
+    for few in (table, table.where("doc_id > 100"), docs(spark, None, "1 2", *["hello the world"] * 40)):
+        kept = corpus_pipeline.keep_identified(spark, few, SF)
+        assert kept.columns == few.columns
+        want = [r["doc_id"] for r in few.collect() if language_id.has_letter(r["text"])]
+        assert sorted(r["doc_id"] for r in kept.collect()) == want
+
+
 @pytest.mark.parametrize("name", ["op5_language_id", "op7_packing", "op8_near_dedup", "op10_piece_codec"])
 def test_queries_cover_all_rows(spark, name):
     found = queries.QUERIES[name](spark, SF)

@@ -2,7 +2,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerlark import large_months
-from ledgerlark.functions.money import average_amount, percent_change
+from ledgerlark.functions.money import average_amount, from_units, percent_change, units
+from ledgerlark.schema import MONEY
 from tests.helpers import day, found, invoices
 
 
@@ -167,3 +168,10 @@ def test_rounding_and_change_of_either_sign(spark):
     assert [str(r[0]) for r in df.select(average).collect()] == ["-0.02", "0.02", "-0.01", "0.01", "0.25"]
     change = percent_change(F.col("spend"), F.col("total"), F.col("months"))
     assert [str(r[0]) for r in df.where("total > 0 and spend > 0").select(change).collect()] == ["-40.00", "-60.00"]
+
+
+def test_texts_print_cents(spark):
+    """Amounts keep six decimals; what a sentence shows has two."""
+    amounts = spark.createDataFrame([("205341.67",), ("10.005",), ("-3",), (None,)], "a string")
+    shown = amounts.select(from_units(units(F.col("a").cast(MONEY))).cast("string").alias("a"))
+    assert [row["a"] for row in shown.collect()] == ["205341.67", "10.01", "-3.00", None]

@@ -15,6 +15,7 @@ from ledgerlark.functions.money import (
     average_amount,
     from_units,
     percent_change,
+    units,
 )
 from ledgerlark.functions.text import TEMPLATES, render
 from ledgerlark.operators import cadence, grid, spend
@@ -467,7 +468,7 @@ def fn_dates(spark, sf_dir):
 def fn_text(spark, sf_dir):
     vendor, day = F.col("canonical_vendor_id"), F.to_date("invoice_date")
     texts = TEMPLATES["code"]
-    money = F.col("total_amount").cast("string")
+    money = from_units(units(F.col("total_amount"))).cast("string")
     return sparse_invoices(spark, sf_dir).select(
         "invoice_id",
         render(texts["dormant"], vendor=vendor, months=F.lit(4)).alias("dormant"),

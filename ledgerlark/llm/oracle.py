@@ -122,10 +122,113 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (dropped) AS n_dropped,
 FROM judged GROUP BY doc_id
 """
 
+OP11 = f"""
+WITH pieces AS (
+    SELECT lang, list_filter(string_split_regex(piece, '[\\x20\\x09]+'), lambda x: x <> '') AS w
+    FROM (SELECT coalesce(lang, 'und') AS lang,
+                 unnest(string_split_regex(translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}'),
+                                           '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents)
+), totals AS (SELECT lang, sum(len(w)) AS n FROM pieces GROUP BY lang),
+counts AS (
+    SELECT lang, size, phrase, count(*) AS f
+    FROM (SELECT lang, size, unnest([array_to_string(w[i:i + size - 1], ' ') FOR i IN range(1, len(w) - size + 2)]) AS phrase
+          FROM pieces, range(1, 6) AS sizes(size))
+    GROUP BY ALL HAVING count(*) >= 100
+), cuts AS (
+    SELECT lang, size, phrase, f AS a, string_split(phrase, ' ') AS w, unnest(range(1, size)) AS k
+    FROM counts WHERE size > 1
+), scored AS (
+    SELECT c.lang, c.size, c.phrase, c.a, c.k, x.f AS l, y.f AS r, t.n,
+           ((1000::HUGEINT * c.a * t.n) // (x.f::HUGEINT * y.f))::BIGINT AS score
+    FROM cuts c JOIN totals t USING (lang)
+    JOIN counts x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[:c.k], ' ')
+    JOIN counts y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[c.k + 1:], ' ')
+), lowest AS (
+    SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), inner_phrases AS (
+    SELECT lang, unnest([array_to_string(w[i:i + m - 1], ' ') FOR i IN range(1, size - m + 2)]) AS phrase, f
+    FROM (SELECT lang, size, f, string_split(phrase, ' ') AS w FROM counts WHERE size > 2), range(2, 5) AS parts(m)
+    WHERE m < size
+), covered AS (SELECT lang, phrase, max(f) AS longest FROM inner_phrases GROUP BY ALL),
+ranked AS (
+    SELECT lang, phrase, a, l, r, n, score,
+           row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank
+    FROM lowest LEFT JOIN covered USING (lang, phrase) WHERE longest IS NULL OR longest < a
+)
+SELECT lang, rank, phrase, a, l, r, n::BIGINT AS n, score FROM ranked WHERE rank <= 2000
+"""
+
+
+def _entry(value: str) -> str:
+    return f"coalesce(octet_length(encode({value}::VARCHAR)) || ':' || {value}, '-')"
+
+
+def _levels(name: str, count: int) -> str:
+    """Tables {name}0 to {name}{count}: the nodes of each level with their siblings; {name}0 must come first."""
+    parts = []
+    for k in range(count):
+        parts.append(f"""
+{name}_runs{k} AS MATERIALIZED (
+    SELECT tree, i, h, count(*) OVER (PARTITION BY tree) AS c,
+           coalesce(lag(h, 2) OVER run, '') || coalesce(lag(h, 1) OVER run, '') AS before,
+           coalesce(lead(h, 1) OVER run, '') || coalesce(lead(h, 2) OVER run, '') AS after
+    FROM {name}{k} WINDOW run AS (PARTITION BY tree, i // 3 ORDER BY i)
+), {name}{k + 1} AS MATERIALIZED (
+    SELECT tree, i // 3 AS i,
+           CASE WHEN any_value(c) = 1 THEN any_value(h) ELSE sha256(string_agg(h, '' ORDER BY i)) END AS h
+    FROM {name}_runs{k} GROUP BY tree, i // 3
+)""")
+    return ",".join(parts)
+
+
+def _climb(name: str, first: str, count: int) -> str:
+    """Tables climbing from ``first`` (tree, i, f, proof and more) to the root of {name}."""
+    parts = []
+    for k in range(count):
+        parts.append(f"""
+{name}_up{k} AS MATERIALIZED (
+    SELECT x.* REPLACE (CASE WHEN c = 1 THEN f ELSE sha256(before || f || after) END AS f,
+                        proof || before || after AS proof)
+    FROM {first if k == 0 else f"{name}_up{k - 1}"} x JOIN {name}_runs{k} r ON x.tree = r.tree AND x.i // {3**k} = r.i
+)""")
+    return ",".join(parts)
+
+
+_STEP = "xor(x >> 1, 3988292384 * (x & 1))"  # fixed value: the polynomial of CRC-32, reversed
+_CRC = f"""xor(4294967295, list_reduce(
+    [4294967295::BIGINT] || [unicode(c)::BIGINT FOR c IN string_split(doc_id::VARCHAR, '')],
+    lambda a, b: list_reduce([xor(a, b)] || [0::BIGINT FOR _ IN range(8)], lambda x, y: {_STEP})))"""
+_TREE_LEVELS, _TOP_LEVELS = 12, 8  # 531,441 rows of a source and 6,561 sources
+
+OP12 = f"""
+WITH rows AS MATERIALIZED (
+    SELECT doc_id, coalesce('=' || source, '-') AS tree, {" || ".join(_entry(c) for c in ("doc_id", "source", "lang", "n_chars"))} AS head,
+           {_entry("text")} AS body,
+           {_entry("replace(text, chr(10), '')")} AS cut, {_CRC} % 2 = 0 AS tampered
+    FROM documents
+), leaves AS MATERIALIZED (
+    SELECT doc_id, tree, sha256(head || body) AS leaf,
+           sha256(head || CASE WHEN tampered THEN cut ELSE body END) AS claimed
+    FROM rows
+), numbered AS MATERIALIZED (
+    SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i FROM leaves
+), t0 AS (SELECT tree, i, leaf AS h FROM numbered),{_levels("t", _TREE_LEVELS)},
+s0 AS MATERIALIZED (SELECT 'top' AS tree, row_number() OVER (ORDER BY tree) - 1 AS i, h, tree AS name FROM t{_TREE_LEVELS}),{_levels("s", _TOP_LEVELS)},
+start AS (SELECT doc_id, tree, i, leaf, claimed AS f, '' AS proof FROM numbered),{_climb("t", "start", _TREE_LEVELS)},
+middle AS (
+    SELECT doc_id, 'top' AS tree, s0.i, leaf, s0.h AS subroot, f, proof
+    FROM t_up{_TREE_LEVELS - 1} u JOIN s0 ON s0.name = u.tree
+),{_climb("s", "middle", _TOP_LEVELS)}
+SELECT doc_id, leaf, subroot, s{_TOP_LEVELS}.h AS root, sha256(proof) AS proof_sha256, f AS folded_root,
+       f = s{_TOP_LEVELS}.h AS verified
+FROM s_up{_TOP_LEVELS - 1}, s{_TOP_LEVELS}
+"""
+
 ORACLE = {
     "op1_url_filter": OP1,
     "op2_secret_scan": OP2,
     "op4_warc_convert": OP4,
     "op6_hamming_search": OP6,
     "op9_line_dedup": OP9,
+    "op12_merkle_manifest": OP12,
 }

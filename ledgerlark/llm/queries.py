@@ -15,6 +15,7 @@ from ledgerlark.llm import (
     hamming_search,
     language_id,
     line_dedup,
+    merkle,
     near_dedup,
     packing,
     piece_codec,
@@ -116,6 +117,26 @@ def op10_piece_codec(spark, sf_dir):
     return piece_codec.encode_pieces(docs, tokenizer_path(PIECE_MODEL), digests=True)
 
 
+def op12_merkle_manifest(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents")
+    cut = F.when(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(2)) == 0, F.replace("text", F.lit("\n")))
+    fields = ("doc_id", "source", "lang", "n_chars")
+    rows = docs.select(
+        "doc_id",
+        "source",
+        merkle.leaf_digest(*map(F.col, fields), F.col("text")).alias("leaf"),
+        merkle.leaf_digest(*map(F.col, fields), F.coalesce(cut, "text")).alias("claimed"),
+    )
+    proofs = merkle.manifest(rows, id="doc_id", group="source", leaf="leaf", carry=["claimed"])
+    folded = proofs.withColumns(
+        {
+            "proof_sha256": merkle.proof_digest(F.col("path")),
+            "folded_root": merkle.folded(F.col("claimed"), F.col("path")),
+        }
+    ).drop("path", "claimed")
+    return folded.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 def pipeline(spark, sf_dir):
     import corpus_pipeline
 
@@ -136,6 +157,7 @@ QUERIES = {
         op8_near_dedup,
         op9_line_dedup,
         op10_piece_codec,
+        op12_merkle_manifest,
         pipeline,
     )
 }

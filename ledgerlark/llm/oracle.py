@@ -230,5 +230,6 @@ ORACLE = {
     "op4_warc_convert": OP4,
     "op6_hamming_search": OP6,
     "op9_line_dedup": OP9,
+    "op11_phrase_collocations": OP11,
     "op12_merkle_manifest": OP12,
 }

@@ -18,6 +18,7 @@ from ledgerlark.llm import (
     merkle,
     near_dedup,
     packing,
+    phrases,
     piece_codec,
     secret_scan,
     url_filter,
@@ -117,6 +118,10 @@ def op10_piece_codec(spark, sf_dir):
     return piece_codec.encode_pieces(docs, tokenizer_path(PIECE_MODEL), digests=True)
 
 
+def op11_phrase_collocations(spark, sf_dir):
+    return phrases.collocations(_table(spark, sf_dir, "documents"))
+
+
 def op12_merkle_manifest(spark, sf_dir):
     docs = _table(spark, sf_dir, "documents")
     cut = F.when(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(2)) == 0, F.replace("text", F.lit("\n")))
@@ -157,6 +162,7 @@ QUERIES = {
         op8_near_dedup,
         op9_line_dedup,
         op10_piece_codec,
+        op11_phrase_collocations,
         op12_merkle_manifest,
         pipeline,
     )

@@ -13,6 +13,7 @@ from ledgerlark.llm import (
     ann_search,
     archives,
     hamming_search,
+    html_extract,
     language_id,
     line_dedup,
     merkle,
@@ -142,6 +143,11 @@ def op12_merkle_manifest(spark, sf_dir):
     return folded.withColumn("verified", F.col("folded_root") == F.col("root"))
 
 
+def op13_html_extract(spark, sf_dir):
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_extract.extract_main_text(pages).select("page_id", "url", "text", "n_chars")
+
+
 def pipeline(spark, sf_dir):
     import corpus_pipeline
 
@@ -164,6 +170,7 @@ QUERIES = {
         op10_piece_codec,
         op11_phrase_collocations,
         op12_merkle_manifest,
+        op13_html_extract,
         pipeline,
     )
 }

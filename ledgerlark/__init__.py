@@ -1,10 +1,11 @@
 """Invoice signals on Spark: lazy DataFrame detectors and the alert table they feed."""
 
+from ledgerlark.functions.dates import Cadence
 from ledgerlark.operators.accrual import accrual_alerts
 from ledgerlark.operators.alerts import AlertLocation, AlertType, combine, conform
-from ledgerlark.operators.cadence import missing_invoices
+from ledgerlark.operators.cadence import cadence_misses, missing_invoices
 from ledgerlark.operators.dormant import dormant_vendors
-from ledgerlark.operators.spend import large_months
+from ledgerlark.operators.spend import SpendBand, large_months
 from ledgerlark.plans.registry import Signal, register_signal, with_names
 from ledgerlark.plans.run import execute_config, run_config, run_signals
 from ledgerlark.schema import (
@@ -21,12 +22,15 @@ __all__ = [
     "ALERT_SCHEMA",
     "AlertLocation",
     "AlertType",
+    "Cadence",
     "INVOICE_SPEC",
     "InvoiceColumns",
     "LINE_ITEM_SPEC",
     "Signal",
+    "SpendBand",
     "TableSpec",
     "accrual_alerts",
+    "cadence_misses",
     "combine",
     "conform",
     "dormant_vendors",

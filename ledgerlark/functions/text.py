@@ -15,7 +15,7 @@ TEMPLATES = {
         "accrual": "Line items from vendor `{vendor}` in this invoice cover future periods ({end})",
         "spend": "Monthly spend with `{vendor}` is ${spend} ({versus}%) higher than average.",
         "missing": (
-            "`{vendor}` generally charges between on {day} day of each month invoices are sent. "
+            "`{vendor}` generally charges between on {day} day of each {unit} invoices are sent. "
             "On {date}, an invoice from `{vendor}` has not been received."
         ),
     },
@@ -26,7 +26,7 @@ TEMPLATES = {
         ),
         "spend": "Monthly spend with {vendor} is ${spend} ({versus}%) higher than average",
         "missing": (
-            "{vendor} generally charges between on {day} day of each month invoices are sent. "
+            "{vendor} generally charges between on {day} day of each {unit} invoices are sent. "
             "On {date}, an invoice from {vendor} has not been received"
         ),
     },

@@ -1,170 +1,135 @@
-"""Invoices expected on a monthly or quarterly cadence that did not arrive in time."""
+"""Invoices expected on a cadence, such as every month or quarter, that did not arrive in time."""
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlark.functions.dates import (
-    cadence_start,
-    day_in_month,
-    day_in_month_clamped,
-    shift_cadence,
-)
+from ledgerlark.functions.dates import CADENCES, Cadence, cadence_start
 from ledgerlark.functions.text import sentence
 from ledgerlark.schema import DATE_LIKE, ID_LIKE, InvoiceColumns, require_rules, require_types
 
 # Active cadences needed before the next one counts as expected.
-LOOKBACK = {"month": 3, "quarter": 2}
+LOOKBACK = {name: cadence.lookback for name, cadence in CADENCES.items()}
+#: Days of a month that are counted apart.
+DAYS = 31
 
 
-def active_months(invoices: DataFrame, columns: InvoiceColumns = InvoiceColumns()) -> DataFrame:
-    """One row per (vendor, month) with any invoice: first day, and whether any has an id.
+def _counters(cadence: Cadence) -> list[str]:
+    days = DAYS if cadence.unit == "month" else 7 * cadence.length
+    return [f"n_{day}" for day in range(1, days + 1)]
 
-    A single map-side combined aggregation with fixed-width buffers. The monthly and the
-    quarterly cadence both start from it.
-    """
-    return (
-        _dated(invoices, columns)
-        .groupBy("vendor", F.trunc("day", "month").alias("cadence"))
-        .agg(F.min("day").alias("first_day"), (F.count("invoice") > 0).alias("billed"))
-    )
+
+def _base(cadence: Cadence) -> Cadence:
+    """The periods that invoices are first counted in: all cadences of months share single months."""
+    return Cadence("month", 1, 1) if cadence.unit == "month" else cadence
 
 
-def active_months_with_days(
-    invoices: DataFrame, columns: InvoiceColumns = InvoiceColumns()
+def active_periods(
+    invoices: DataFrame, cadence: Cadence, *, days: bool = False, columns: InvoiceColumns = InvoiceColumns()
 ) -> DataFrame:
-    """Like ``active_months``, plus ``day_counts``: (day of month, invoices), at most 31 pairs.
+    """One row per (vendor, period) with any invoice: first and last day, whether any has an id, and
+    whether the vendor is ``known``.
 
-    Copies of an invoice on one day count once. ``lowest`` and ``highest`` are the extreme
-    invoice ids, which tell a single invoice from several without a distinct count.
+    A single map-side combined aggregation with fixed-width buffers. Rows of NULL vendors stay, as
+    their dates count for the newest one. With ``days`` there are also the extreme invoice ids, which
+    tell a single invoice from several without a distinct count, and a counter for each usual day;
+    there copies of an invoice on one day count once.
     """
-    per_day = (
-        _dated(invoices, columns)
-        .distinct()
-        .groupBy("vendor", "day")
-        .agg(
-            F.count("invoice").alias("n"),
-            F.min("invoice").alias("lowest"),
-            F.max("invoice").alias("highest"),
-        )
-    )
-    return per_day.groupBy("vendor", F.trunc("day", "month").alias("cadence")).agg(
-        F.min("day").alias("first_day"),
-        F.min("lowest").alias("lowest"),
-        F.max("highest").alias("highest"),
-        F.collect_list(F.struct(F.dayofmonth("day").alias("day"), "n")).alias("day_counts"),
-    )
-
-
-def _dated(invoices: DataFrame, columns: InvoiceColumns) -> DataFrame:
-    return invoices.where(
-        F.col(columns.vendor).isNotNull() & F.col(columns.date).isNotNull()
-    ).select(
+    dated = invoices.where(F.col(columns.date).isNotNull()).select(
         F.col(columns.vendor).alias("vendor"),
         F.col(columns.invoice).alias("invoice"),
         F.to_date(columns.date).alias("day"),
     )
-
-
-def to_cadence(months: DataFrame, unit: str) -> DataFrame:
-    """Roll active months up to a coarser cadence."""
-    if unit == "month":
-        return months
     measures = {
-        "first_day": F.min("first_day"),
-        "billed": F.bool_or("billed"),
-        "lowest": F.min("lowest"),
-        "highest": F.max("highest"),
-        "day_counts": F.flatten(F.collect_list("day_counts")),
+        "first_day": F.min("day"),
+        "last_day": F.max("day"),
+        "billed": F.count("invoice") > 0,
+        "known": F.count("vendor") > 0,
     }
-    return months.groupBy("vendor", cadence_start(F.col("cadence"), unit).alias("cadence")).agg(
-        *[measure.alias(name) for name, measure in measures.items() if name in months.columns]
+    if days:
+        dated = dated.distinct()
+        usual = cadence.usual_day(F.col("day"))
+        measures |= {"lowest": F.min("invoice"), "highest": F.max("invoice")}
+        measures |= {
+            name: F.sum(((usual == place) & F.col("invoice").isNotNull()).cast("int"))
+            for place, name in enumerate(_counters(cadence), 1)
+        }
+    return dated.groupBy("vendor", cadence.ordinal(F.col("day")).alias("period")).agg(
+        *[measure.alias(name) for name, measure in measures.items()]
     )
 
 
-def _given(as_of: date | str) -> Column:
-    return F.lit(as_of if isinstance(as_of, date) else date.fromisoformat(as_of))
-
+def to_cadence(active: DataFrame, cadence: Cadence) -> DataFrame:
+    """Roll active periods up to a coarser cadence; counters of a day merge by addition."""
+    measures = {"first_day": F.min, "billed": F.bool_or, "lowest": F.min, "highest": F.max}
+    measures |= {name: F.sum for name in _counters(cadence)}
+    return active.groupBy("vendor", cadence.ordinal(F.col("first_day")).alias("period")).agg(
+        *[measure(name).alias(name) for name, measure in measures.items() if name in active.columns]
+    )
 
-def _last_cadence(
-    invoices: DataFrame, unit: str, as_of: date | str | None, columns: InvoiceColumns
-) -> Column:
-    """The cadence that counts as current: that of ``as_of``, or of the newest invoice.
 
-    The newest invoice date is a scalar subquery, so it costs one narrow scan and no collect.
-    """
-    newest = _given(as_of) if as_of else invoices.agg(F.to_date(F.max(columns.date))).scalar()
-    return cadence_start(newest, unit)
+def _given(as_of: date | str) -> Column:
+    return F.lit(as_of if isinstance(as_of, date) else date.fromisoformat(as_of))
 
 
-def _missed(
-    active: DataFrame, unit: str, last: Column, lookback: int, rules: str
-) -> DataFrame:
-    """Cadences following ``lookback`` active ones whose invoice came late or not at all.
+def candidates(active: DataFrame, cadence: Cadence, rules: str) -> DataFrame:
+    """Periods following ``lookback`` active ones whose invoice came late or not yet: (vendor, period,
+    cadence, usual_day, start, end).
 
-    Only the cadence right after a run of active ones can be missed, so there is no need for a
-    grid of every vendor by every cadence: the run is recognised on active rows by looking back
-    ``lookback - 1`` rows, and the next active row, if it is the candidate, says when the invoice
-    came. One row per vendor and active cadence takes part in the window.
+    Only the period right after a run of active ones can be missed, so there is no need for a grid of
+    every vendor by every period. In a run, the period's number grows as the row's does, so the row
+    ``lookback - 1`` before tells whether the run is long enough, and the next active row, if it is
+    the candidate, says when the invoice came. One row per vendor and active period takes part.
     """
     documented = rules == "documented"
-    by_vendor = Window.partitionBy("vendor").orderBy("cadence")
-    run = by_vendor.rowsBetween(-(lookback - 1), 0)
+    back = cadence.lookback - 1
+    by_vendor = Window.partitionBy("vendor").orderBy("period")
+    run = by_vendor.rowsBetween(-back, 0)
     columns = {
-        "run_start": F.lag("cadence", lookback - 1).over(by_vendor),
+        "run_start": F.lag("period", back).over(by_vendor) if back else F.col("period"),
         "run_billed": F.min("billed").over(run),
-        "next_cadence": F.lead("cadence").over(by_vendor),
+        "next_period": F.lead("period").over(by_vendor),
         "next_day": F.lead("first_day").over(by_vendor),
     }
     if documented:
-        columns["run_days"] = F.collect_list("day_counts").over(run)
-        if unit == "quarter":
+        counters = _counters(cadence)
+        columns |= {f"run_{name}": F.sum(name).over(run) for name in counters}
+        if cadence.unit == "month" and cadence.length > 1:  # such vendors send exactly one
             single = F.col("lowest") == F.col("highest")
             columns["run_billed"] = F.min(F.col("billed") & single).over(run)
+        # The most frequent day, the earliest of several.
+        most = F.greatest(*[F.col(f"run_{name}") for name in counters]) if len(counters) > 1 else F.col(f"run_{counters[0]}")
+        usual = F.coalesce(*[F.when(F.col(f"run_{name}") == most, day) for day, name in enumerate(counters, 1)])
     else:
-        columns["usual_day"] = F.dayofmonth(F.lag("first_day", lookback - 1).over(by_vendor))
+        first = F.lag("first_day", back).over(by_vendor) if back else F.col("first_day")
+        columns["run_first"] = first
+        usual = cadence.usual_day(F.col("run_first"))
     runs = active.withColumns(columns).where(
-        (F.col("run_start") == shift_cadence(F.col("cadence"), unit, -(lookback - 1)))
-        & F.col("run_billed")
+        (F.col("run_start") == F.col("period") - back) & F.col("run_billed")
     )
-    if documented:
-        runs = _with_most_frequent_day(runs)
-    candidate = shift_cadence(F.col("cadence"), unit, 1)
-    month_after = F.add_months("candidate", 1)
-    arrived = F.when(F.col("next_cadence") == F.col("candidate"), F.col("next_day"))
-    end = F.coalesce(arrived, month_after)
-    if documented:
-        end = F.least(end, month_after)
-    place = day_in_month_clamped if documented else day_in_month
-    return (
-        runs.withColumn("candidate", candidate)
-        .where(F.col("candidate") <= last)
-        .select(
-            "vendor",
-            F.col("candidate").alias("cadence"),
-            "usual_day",
-            place(F.col("candidate"), F.col("usual_day")).alias("start"),
-            end.alias("end"),
-        )
-        .where(F.col("end") > F.col("start"))
+    arrived = F.when(F.col("next_period") == F.col("period") + 1, F.col("next_day"))
+    due = runs.select(
+        "vendor",
+        (F.col("period") + 1).alias("period"),
+        cadence.start(F.col("period") + 1).alias("cadence"),
+        usual.alias("usual_day"),
+        arrived.alias("arrived"),
     )
-
-
-def _with_most_frequent_day(runs: DataFrame) -> DataFrame:
-    """Add ``usual_day``: the day of month with the most invoices over the run, the earliest of
-    several. The rows are already partitioned by vendor, so neither grouping shuffles.
-    """
-    keys = ["vendor", "cadence", "next_cadence", "next_day"]
-    by_day = (
-        runs.select(*keys, F.explode(F.flatten("run_days")).alias("pair"))
-        .groupBy(*keys, F.col("pair.day").alias("day"))
-        .agg(F.sum("pair.n").alias("n"))
-    )
-    most = F.min(F.struct((-F.col("n")).alias("rank"), "day"))
-    return by_day.groupBy(*keys).agg(most["day"].alias("usual_day"))
+    end = F.coalesce("arrived", cadence.deadline(F.col("cadence")))
+    if documented:
+        end = F.least(end, cadence.deadline(F.col("cadence")))
+    return due.select(
+        "vendor",
+        "period",
+        "cadence",
+        "usual_day",
+        cadence.place(F.col("cadence"), F.col("usual_day"), documented).alias("start"),
+        end.alias("end"),
+    ).where(F.col("end") > F.col("start"))
 
 
 def _require(invoices: DataFrame, columns: InvoiceColumns, who: str) -> None:
@@ -175,50 +140,81 @@ def _require(invoices: DataFrame, columns: InvoiceColumns, who: str) -> None:
     )
 
 
-def _active(
-    invoices: DataFrame, as_of: date | str | None, rules: str, columns: InvoiceColumns
-) -> DataFrame:
-    if as_of:
-        invoices = invoices.where(F.to_date(columns.date) <= _given(as_of))
-    months = active_months_with_days if rules == "documented" else active_months
-    # One exchange by vendor serves both cadences and all their windows. It comes after the
-    # aggregation, so a vendor contributes at most one row per calendar month to it.
-    active = months(invoices, columns).repartition("vendor")
-    if rules != "documented":
-        return active
-    # Both ids say whether a month was billed, so the monthly cadence reads the same columns as the
-    # quarterly one. With fewer, its exchange could not be shared and all before it would run twice.
-    return active.withColumn("billed", F.coalesce(F.col("lowest") <= F.col("highest"), F.lit(False)))
-
-
-def monthly_misses(
+class _Activity:
+    """The active periods of a table, counted once for all cadences of months, and its newest date."""
+
+    def __init__(self, invoices: DataFrame, as_of: date | str | None, rules: str, columns: InvoiceColumns):
+        if as_of:
+            invoices = invoices.where(F.to_date(columns.date) <= _given(as_of))
+        self.invoices, self.columns = invoices, columns
+        self.days = rules == "documented"
+        self.as_of = as_of
+        self.counted: dict[Cadence, DataFrame] = {}
+
+    def _of_base(self, base: Cadence) -> DataFrame:
+        if base not in self.counted:
+            self.counted[base] = active_periods(self.invoices, base, days=self.days, columns=self.columns)
+        return self.counted[base]
+
+    def newest(self, base: Cadence) -> Column:
+        """``as_of``, or the newest invoice date of the table, NULL vendors included.
+
+        A scalar subquery over the same aggregate as the periods themselves. Spark runs an exchange
+        once if both sides need the same columns of it, so this carries every measure along, and
+        ``of`` reads ``last_day`` in a comparison that never fails.
+        """
+        if self.as_of:
+            return _given(self.as_of)
+        active = self._of_base(base)
+        others = [name for name in active.columns if name not in ("vendor", "period", "last_day")]
+        return active.agg(F.max(F.struct("last_day", *others))["last_day"]).scalar()
+
+    def of(self, cadence: Cadence) -> DataFrame:
+        """Active periods of known vendors, together by vendor.
+
+        One exchange by vendor serves all cadences and their windows. It comes after the
+        aggregation, so a vendor contributes at most one row per period to it.
+        """
+        base = _base(cadence)
+        active = self._of_base(base).where(F.col("known") & (F.col("first_day") <= F.col("last_day")))
+        active = active.drop("known", "last_day").repartition("vendor")
+        if self.days:
+            # Both ids say whether a period was billed, so every cadence reads the same columns. With
+            # fewer, the exchange could not be shared and all before it would run twice.
+            active = active.withColumn("billed", F.coalesce(F.col("lowest") <= F.col("highest"), F.lit(False)))
+        return active if base == cadence or (base.unit, base.length) == (cadence.unit, cadence.length) else to_cadence(active, cadence)
+
+    def misses(self, cadence: Cadence, rules: str) -> DataFrame:
+        found = candidates(self.of(cadence), cadence, rules)
+        return found.where(F.col("period") <= cadence.ordinal(self.newest(_base(cadence)))).drop("period")
+
+
+def cadence_misses(
     invoices: DataFrame,
+    cadence: Cadence | str | Mapping,
     *,
     as_of: date | str | None = None,
     rules: str = "code",
     columns: InvoiceColumns = InvoiceColumns(),
 ) -> DataFrame:
-    """(vendor, cadence, usual_day, start, end) for months missed after three active ones."""
+    """(vendor, cadence, usual_day, start, end) for periods missed after ``lookback`` active ones.
+
+    ``cadence`` is the first day of the period, ``start`` the usual day in it. ``end`` is the day the
+    invoice came, or else the end of the period's first month, or of its weeks.
+    """
     require_rules(rules)
-    _require(invoices, columns, "monthly_misses")
-    last = _last_cadence(invoices, "month", as_of, columns)
-    active = _active(invoices, as_of, rules, columns)
-    return _missed(active, "month", last, LOOKBACK["month"], rules)
+    _require(invoices, columns, "cadence_misses")
+    return _Activity(invoices, as_of, rules, columns).misses(Cadence.of(cadence), rules)
 
 
-def quarterly_misses(
-    invoices: DataFrame,
-    *,
-    as_of: date | str | None = None,
-    rules: str = "code",
-    columns: InvoiceColumns = InvoiceColumns(),
-) -> DataFrame:
+def monthly_misses(invoices: DataFrame, **options) -> DataFrame:
+    """Months missed after three active ones; see ``cadence_misses``."""
+    return cadence_misses(invoices, "month", **options)
+
+
+def quarterly_misses(invoices: DataFrame, **options) -> DataFrame:
     """Quarters missed after two active ones, whether or not a month in them was missed too."""
-    require_rules(rules)
-    _require(invoices, columns, "quarterly_misses")
-    last = _last_cadence(invoices, "quarter", as_of, columns)
-    active = to_cadence(_active(invoices, as_of, rules, columns), "quarter")
-    return _missed(active, "quarter", last, LOOKBACK["quarter"], rules)
+    return cadence_misses(invoices, "quarter", **options)
 
 
 def without_monthly(quarterly: DataFrame, monthly: DataFrame) -> DataFrame:
@@ -233,17 +229,23 @@ def either_cadence(monthly: DataFrame, quarterly: DataFrame) -> DataFrame:
     """Monthly misses, and the quarterly ones of quarters without any monthly miss.
 
     Same rows as ``monthly`` united with ``without_monthly``, but each input is computed once.
-    A vendor's quarter holds at most three monthly misses and one quarterly one.
     """
-    both = monthly.withColumn("monthly", F.lit(True)).unionByName(
-        quarterly.withColumn("monthly", F.lit(False))
-    )
-    same_quarter = Window.partitionBy("vendor", cadence_start(F.col("cadence"), "quarter"))
-    return (
-        both.withColumn("covered", F.bool_or("monthly").over(same_quarter))
-        .where(F.col("monthly") | ~F.col("covered"))
-        .drop("monthly", "covered")
-    )
+    return finest_misses([(CADENCES["month"], monthly), (CADENCES["quarter"], quarterly)])
+
+
+def finest_misses(found: Sequence[tuple[Cadence, DataFrame]]) -> DataFrame:
+    """The misses of several cadences, given finest first: one is left out where a finer cadence was
+    missed in the same period. A vendor's period holds a few misses of each finer cadence."""
+    (_, kept), *coarser = found
+    for cadence, misses in coarser:
+        both = kept.withColumn("finer", F.lit(True)).unionByName(misses.withColumn("finer", F.lit(False)))
+        same = Window.partitionBy("vendor", cadence.ordinal(F.col("cadence")))
+        kept = (
+            both.withColumn("covered", F.bool_or("finer").over(same))
+            .where(F.col("finer") | ~F.col("covered"))
+            .drop("finer", "covered")
+        )
+    return kept
 
 
 def daily(misses: DataFrame) -> DataFrame:
@@ -259,18 +261,29 @@ def missing_invoices(
     *,
     as_of: date | str | None = None,
     rules: str = "code",
+    cadences: Sequence[Cadence | str | Mapping] = ("month", "quarter"),
     columns: InvoiceColumns = InvoiceColumns(),
 ) -> DataFrame:
     """One alert per vendor and day on which an expected invoice is outstanding.
 
     ``as_of`` (a date, or its ISO text) sets the current date and hides later invoices; no alert
     is dated after it. By default the newest invoice date in the table is current, and alerts go
-    to the end of its cadence.
+    to the end of its cadence. ``cadences`` are looked at from the finest to the coarsest.
     """
-    options = {"as_of": as_of, "rules": rules, "columns": columns}
-    misses = either_cadence(
-        monthly_misses(invoices, **options), quarterly_misses(invoices, **options)
+    require_rules(rules)
+    _require(invoices, columns, "missing_invoices")
+    chosen = sorted(map(Cadence.of, cadences), key=lambda c: c.days)
+    if not chosen:
+        raise ValueError("name one cadence at least")
+    activity = _Activity(invoices, as_of, rules, columns)
+    misses = finest_misses(
+        [(c, activity.misses(c, rules).withColumn("unit", F.lit(c.unit))) for c in chosen]
     )
+    return missing_alerts(misses, as_of=as_of, rules=rules)
+
+
+def missing_alerts(misses: DataFrame, *, as_of: date | str | None = None, rules: str = "code") -> DataFrame:
+    """The alerts of misses, a row for each day; ``unit`` names the cadence's unit."""
     if as_of:
         misses = misses.withColumn("end", F.least("end", F.date_add(_given(as_of), 1)))
     return daily(misses).select(
@@ -281,6 +294,7 @@ def missing_invoices(
             rules,
             vendor=F.col("vendor"),
             day=F.col("usual_day").cast("string"),
+            unit=F.col("unit"),
             date=F.col("date").cast("string"),
         ).alias("insight_text"),
     )

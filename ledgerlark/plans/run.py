@@ -7,7 +7,9 @@ from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ledgerlark.functions.dates import Cadence
 from ledgerlark.operators.alerts import combine, conform
+from ledgerlark.operators.spend import SpendBand
 from ledgerlark.plans.registry import SIGNALS, with_names
 from ledgerlark.schema import InvoiceColumns, TableSpec
 from ledgerlark.sources.sinks import read_alerts, write_alerts
@@ -26,8 +28,8 @@ def run_signals(
     """Run detectors and combine their alerts. Nothing is executed until the result is used.
 
     ``signals`` maps detector names to arguments; arguments that take a table give its name in
-    ``tables``, all others (such as ``window``) are passed on; ``columns`` may be a mapping, as a
-    configuration has it.
+    ``tables``, all others (such as ``window``) are passed on; ``columns``, each of ``bands`` and each
+    of ``cadences`` may be a mapping, as a configuration has it.
     """
     unknown = sorted(set(signals) - set(SIGNALS))
     if unknown:
@@ -40,10 +42,8 @@ def run_signals(
             raise ValueError(f"{name} needs: {', '.join(absent)}")
         call: dict[str, Any] = {"rules": rules} if signal.takes_rules else {}
         for argument, value in arguments.items():
-            if argument == "columns" and isinstance(value, Mapping):
-                call[argument] = InvoiceColumns(**value)
-            elif argument not in signal.tables:
-                call[argument] = value
+            if argument not in signal.tables:
+                call[argument] = _typed(argument, value)
             elif value in tables:
                 call[signal.tables[argument]] = tables[value]
             else:
@@ -52,6 +52,17 @@ def run_signals(
     return combine(alerts)
 
 
+def _typed(argument: str, value: Any) -> Any:
+    """An argument as a configuration has it, in the type that detectors take."""
+    if argument == "columns" and isinstance(value, Mapping):
+        return InvoiceColumns(**value)
+    if argument == "bands" and value is not None:
+        return tuple(SpendBand(**band) if isinstance(band, Mapping) else band for band in value)
+    if argument == "cadences":
+        return [Cadence.of(cadence) for cadence in value]
+    return value
+
+
 def load_tables(
     spark: SparkSession, data: Mapping[str, Mapping[str, Any]], **options
 ) -> dict[str, DataFrame]:

@@ -1,7 +1,12 @@
-from datetime import date
+import random
+from collections import Counter
+from datetime import date, timedelta
 
-from ledgerlark import missing_invoices
+import pytest
+
+from ledgerlark import Cadence, missing_invoices, run_signals
 from ledgerlark.operators.cadence import (
+    cadence_misses,
     daily,
     monthly_misses,
     quarterly_misses,
@@ -167,3 +172,104 @@ def test_no_alert_after_the_stated_day(spark):
     steady = invoices(spark, *[("v", f"i{m}", f"2020-{m:02}-05") for m in (1, 2, 3)])
     dates = [r[0] for r in found(missing_invoices(steady, as_of="2020-04-10"), "insight_date")]
     assert dates and str(max(dates)) == "2020-04-10"
+
+
+def period_of(cadence, d):
+    if cadence.unit == "month":
+        return (d.year * 12 + d.month - cadence.starts) // cadence.length
+    return ((d - date(1970, 1, 5)).days - cadence.starts + 1) // (7 * cadence.length)
+
+
+def period_start(cadence, p):
+    if cadence.unit == "month":
+        month = p * cadence.length + cadence.starts - 1
+        return date(month // 12, month % 12 + 1, 1)
+    return date(1970, 1, 5) + timedelta(7 * cadence.length * p + cadence.starts - 1)
+
+
+def plain_misses(rows, cadence, documented):
+    """Every vendor and every period, one after the other."""
+    newest = max(d for _, _, d in rows)
+    out = []
+    for vendor in {v for v, _, _ in rows}:
+        periods = {}
+        for v, i, d in rows:
+            if v == vendor:
+                periods.setdefault(period_of(cadence, d), set()).add((d, i))
+        for p in range(min(periods), period_of(cadence, newest) + 1):
+            before = [periods.get(q, set()) for q in range(p - cadence.lookback, p)]
+            if not all(before):
+                continue
+            start = period_start(cadence, p)
+            if cadence.unit == "month":
+                due = (start.replace(day=28) + timedelta(4)).replace(day=1)
+                place = lambda d: d.day
+            else:
+                due = start + timedelta(7 * cadence.length)
+                place = lambda d: (d - period_start(cadence, period_of(cadence, d))).days + 1
+            first = min(periods[p])[0] if p in periods else None
+            if documented:
+                if cadence.unit == "month" and cadence.length > 1 and any(len({i for _, i in b}) != 1 for b in before):
+                    continue
+                days = Counter(place(d) for b in before for d, _ in b)
+                usual = min(days, key=lambda x: (-days[x], x))
+                end = min(first or due, due)
+            else:
+                usual, end = place(min(before[0])[0]), first or due
+            begin = start + timedelta(usual - 1)
+            if cadence.unit == "month" and begin.month != start.month:
+                if not documented:
+                    continue
+                begin = due - timedelta(1)
+            if end > begin:
+                out.append((vendor, start, usual, begin, end))
+    return sorted(out, key=lambda row: tuple(map(str, row)))
+
+
+@pytest.mark.parametrize("rules", ["code", "documented"])
+@pytest.mark.parametrize(
+    "cadence",
+    [
+        Cadence("week", 1, 3), Cadence("week", 2, 1, starts=7), Cadence("week", 3, 2, starts=4), Cadence("month", 1, 1),
+        Cadence("month", 3, 2, starts=2), Cadence("month", 6, 2, starts=4), Cadence("month", 12, 1, starts=10),
+    ],
+)
+def test_any_cadence_against_every_period(spark, cadence, rules):
+    r = random.Random(f"{cadence}")
+    spread = cadence.days
+    rows = [
+        (f"v{n % 6}", f"i{n % 90 if n % 5 else n // 2}", date(2019, 1, 1) + timedelta(r.randrange(spread * 9)))
+        for n in range(120)
+    ]
+    table = invoices(spark, *[(v, i, str(d)) for v, i, d in rows])
+    names = ("vendor", "cadence", "usual_day", "start", "end")
+    expected = plain_misses(rows, cadence, rules == "documented")
+    assert expected
+    assert found(cadence_misses(table, cadence, rules=rules), *names) == expected
+
+
+def test_cadences_from_a_configuration(spark):
+    weekly = billed("v", "2020-01-07", "2020-01-14", "2020-01-21") + billed("w", "2020-02-03")
+    table = invoices(spark, *weekly)
+    settings = {"NoInvoiceReceived": {"invoice_data_loader": "t", "cadences": [{"unit": "week", "lookback": 2}, "quarter"]}}
+    alerts = found(run_signals({"t": table}, settings), "glean_date", "glean_text")
+    text = "`v` generally charges between on 2 day of each week invoices are sent. "
+    text += "On 2020-01-{}, an invoice from `v` has not been received."
+    assert alerts == [(day(f"2020-01-{d}"), text.format(d)) for d in (28, 29, 30, 31)] + [
+        (day("2020-02-01"), text.format("x").replace("01-x", "02-01")), (day("2020-02-02"), text.format("x").replace("01-x", "02-02"))
+    ]
+    with pytest.raises(ValueError):
+        run_signals({"t": table}, {"NoInvoiceReceived": {"invoice_data_loader": "t", "cadences": ["decade"]}})
+    with pytest.raises(ValueError):
+        Cadence("month", 3, starts=13)
+    with pytest.raises(ValueError):
+        missing_invoices(table, cadences=[])
+
+
+def test_bands_from_a_configuration(spark):
+    rows = [("v", f"i{m}", f"2020-{m:02d}-05", 10) for m in range(1, 12)] + [("v", "big", "2020-12-05", 90)]
+    table = invoices(spark, *rows)
+    settings = {"LargeMonthIncreaseMtd": {"invoice_data_loader": "t", "bands": [{"low": 50, "high": 99, "percent": 100}]}}
+    assert run_signals({"t": table}, settings).count() == 1
+    settings["LargeMonthIncreaseMtd"]["bands"][0]["low"] = 90
+    assert run_signals({"t": table}, settings).count() == 0

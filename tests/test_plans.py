@@ -154,3 +154,29 @@ def widest_window(df):
 
     walk(df._jdf.queryExecution().executedPlan())
     return widest
+
+
+def executed(df):
+    """The final plan's lines, without those of initial plans and of what is reused."""
+    df.collect()
+    kept, skipped = [], None
+    for line in physical(df).split("\n"):
+        indent = re.search(r"[^ :+-]|$", line).start()
+        if skipped is not None and indent >= skipped:
+            continue
+        skipped = indent if "== Initial Plan ==" in line else None
+        if skipped is None:
+            kept.append(line)
+    return "\n".join(kept)
+
+
+def test_newest_date_takes_no_scan_of_its_own(spark):
+    for options in ({}, {"rules": "documented"}):
+        plan = executed(ll.missing_invoices(sparse_invoices(spark, SF), **options))
+        assert plan.count("FileScan") == 1
+        assert "Subquery" in plan
+
+
+def test_counters_take_no_object_aggregates(spark):
+    plan = executed(ll.missing_invoices(sparse_invoices(spark, SF), rules="documented"))
+    assert "ObjectHashAggregate" not in plan and "Generate explode(flatten" not in plan

@@ -279,6 +279,63 @@ quarter_hits AS (
                       AND CAST(date_trunc('quarter', m.cadence) AS DATE) = q.cadence))"""
 
 
+def _any_cadence(ordinal: str, start: str, usual: str, place: str, deadline: str, lookback: int) -> str:
+    """Missed periods of any cadence on the full grid. ``ordinal`` numbers the period of {day}, ``start``
+    is the first day of period {o}; ``place`` and ``deadline`` see first_of_period and usual_day."""
+    before = f"PARTITION BY vendor ORDER BY o ROWS BETWEEN {lookback} PRECEDING AND 1 PRECEDING"
+    day = "CAST(issued AS DATE)"
+    return f"""
+numbered AS (SELECT *, {ordinal.format(day=day)} AS o FROM inv WHERE issued IS NOT NULL),
+grid AS (
+  SELECT v.vendor, c.o FROM (SELECT DISTINCT vendor FROM inv) v
+  CROSS JOIN (SELECT unnest(generate_series(min(o), max(o))) AS o FROM numbered) c),
+cells AS (
+  SELECT g.vendor, g.o, min(CAST(i.issued AS DATE)) AS first_day, count(DISTINCT i.invoice) AS n
+  FROM grid g LEFT JOIN numbered i ON i.vendor = g.vendor AND i.o = g.o GROUP BY g.vendor, g.o),
+runs AS (
+  SELECT *, {start.format(o="o")} AS first_of_period, min(n) OVER ({before}) AS fewest, count(*) OVER ({before}) AS past,
+         min(first_day) OVER ({before}) AS expected FROM cells),
+placed AS (
+  SELECT vendor, first_of_period, first_day, {usual.format(day="expected")} AS usual_day
+  FROM runs WHERE fewest > 0 AND past = {lookback}),
+hits AS (
+  SELECT vendor, first_of_period AS cadence, usual_day AS usual, {place} AS start_day,
+         coalesce(first_day, {deadline}) AS end_day
+  FROM placed),
+late AS (SELECT * FROM hits WHERE end_day > start_day)"""
+
+
+_MONTH_PLACE = (
+    "TRY_CAST(strftime(first_of_period, '%Y-%m-') || lpad(CAST(usual_day AS VARCHAR), 2, '0') AS DATE)"
+)
+_MONTH_END = "CAST(first_of_period + INTERVAL 1 MONTH AS DATE)"
+WEEKLY = _any_cadence(
+    "(date_diff('day', DATE '1970-01-05', {day}) // 7)",
+    "CAST(DATE '1970-01-05' + CAST(7 * {o} AS INTEGER) AS DATE)",
+    "(date_diff('day', DATE '1970-01-05', {day}) % 7 + 1)",
+    "CAST(first_of_period + CAST(usual_day - 1 AS INTEGER) AS DATE)",
+    "CAST(first_of_period + 7 AS DATE)",
+    3,
+)
+HALF_YEARLY = _any_cadence(
+    "((year({day}) * 12 + month({day}) - 1) // 6)",
+    "make_date({o} * 6 // 12, {o} * 6 % 12 + 1, 1)",
+    "day({day})",
+    _MONTH_PLACE,
+    _MONTH_END,
+    2,
+)
+FISCAL = _any_cadence(
+    "((year({day}) * 12 + month({day}) - 2) // 3)",
+    "make_date(({o} * 3 + 1) // 12, ({o} * 3 + 1) % 12 + 1, 1)",
+    "day({day})",
+    _MONTH_PLACE,
+    _MONTH_END,
+    4,
+)
+_SPAN = 'SELECT vendor, cadence, start_day AS start, end_day AS "end" FROM late'
+
+
 def _missing(rules: str = "code") -> str:
     tick, stop = _tick(rules), "." if rules == "code" else ""
     usual = "day(start_day)" if rules == "code" else "dom"
@@ -417,6 +474,19 @@ ORACLE: dict[str, str] = {
         _missing("documented"),
         select=f"SELECT {_VENDOR_INSIGHT} FROM missing",
     ),
+    "sig_cadence_weekly": _with(M2, WEEKLY, select=_SPAN),
+    "sig_cadence_half_year": _with(M1, HALF_YEARLY, select=_SPAN),
+    "sig_cadence_fiscal_quarter": _with(M2, FISCAL, select=_SPAN),
+    "sig_no_invoice_weekly": _with(
+        M2,
+        WEEKLY,
+        select="""
+SELECT vendor AS canonical_vendor_id, day AS insight_date,
+       '`' || vendor || '` generally charges between on ' || usual || ' day of each week invoices are sent. On '
+         || strftime(day, '%Y-%m-%d') || ', an invoice from `' || vendor || '` has not been received.' AS insight_text
+FROM (SELECT vendor, usual,
+             CAST(unnest(generate_series(start_day, end_day - 1, INTERVAL 1 DAY)) AS DATE) AS day FROM late)""",
+    ),
     "sig_cadence_monthly": _with(
         M2,
         MISSES,

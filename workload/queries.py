@@ -141,6 +141,24 @@ def sig_cadence_quarterly(spark, sf_dir):
     ).drop("usual_day")
 
 
+def sig_cadence_weekly(spark, sf_dir):
+    return cadence.cadence_misses(dense_invoices(spark, sf_dir), "week").drop("usual_day")
+
+
+def sig_cadence_half_year(spark, sf_dir):
+    return cadence.cadence_misses(sparse_invoices(spark, sf_dir), "half_year").drop("usual_day")
+
+
+def sig_cadence_fiscal_quarter(spark, sf_dir):
+    """Quarters from February on, after four active ones."""
+    fiscal = dates.Cadence("month", 3, lookback=4, starts=2)
+    return cadence.cadence_misses(dense_invoices(spark, sf_dir), fiscal).drop("usual_day")
+
+
+def sig_no_invoice_weekly(spark, sf_dir):
+    return cadence.missing_invoices(dense_invoices(spark, sf_dir), cadences=["week"])
+
+
 def sig_daily_expand(spark, sf_dir):
     return cadence.daily(cadence.monthly_misses(dense_invoices(spark, sf_dir)))
 
@@ -480,6 +498,7 @@ def fn_text(spark, sf_dir):
             texts["missing"],
             vendor=vendor,
             day=F.dayofmonth(day).cast("string"),
+            unit=F.lit("month"),
             date=day.cast("string"),
         ).alias("missing"),
         render(
@@ -510,6 +529,10 @@ QUERIES: dict[str, Query] = {
         sig_no_invoice_sparse_documented,
         sig_cadence_monthly,
         sig_cadence_quarterly,
+        sig_cadence_weekly,
+        sig_cadence_half_year,
+        sig_cadence_fiscal_quarter,
+        sig_no_invoice_weekly,
         sig_daily_expand,
         sig_normalize,
         sig_normalize_documented,

@@ -1,7 +1,8 @@
 """Operator 11: phrases whose words stand together more often than their parts would by chance.
 
-Texts become shards of word numbers. Words seen often enough get ids; a shard learns those of its own
-words by a join, so no table of words is sent whole anywhere. Phrases are then counted one length
+Texts become shards of word numbers. The words of all shards meet in blocks by their hash; those seen
+often enough get ids, and each shard gets back those of its own words, so no table of words is sent
+whole anywhere. Phrases are then counted one length
 after the other. A phrase can only be frequent if both phrases within it that lack one word are, so a
 length looks only where the one before was frequent. Each shard packs the word ids of its phrases into
 keys and counts them in quotient filters (see ``quotient_filter``), one for each block of the key
@@ -11,11 +12,13 @@ of its keys: frequent or not. All counters are exact.
 
 from __future__ import annotations
 
-from collections import defaultdict
+from collections import Counter, defaultdict
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import xxhash
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -29,15 +32,49 @@ from ledgerlark.sources.scratch import stored
 BREAKS = b".,;:!?\n\x0b\x0c\r"  # fixed values: the characters between pieces
 BLANKS = b" \t"  # fixed values: the characters between words
 TO_BREAKS = bytes.maketrans(BREAKS + BLANKS, b"." * len(BREAKS) + b" " * len(BLANKS))
-SHARD_BYTES, HELD_BYTES = 6_000_000, 24_000_000
-BLOCK_ENTRIES = 1 << 20
+SHARD_BYTES, HELD_BYTES = 12_000_000, 32_000_000
+BLOCK_WORDS, BLOCK_ENTRIES = 1 << 17, 1 << 20
 WORD_BITS = 25  # ids of five words fit 128 bits: 33 million words that are frequent
 
-SHARDS = "shard bigint, lang string, words bigint, numbers binary, vocabulary array<string>, counts array<bigint>"
+SHARDS = "shard bigint, lang string, words bigint, kinds bigint, numbers binary, vocabulary binary, counts binary"
+SEGMENTS = "shard bigint, lang string, block bigint, vocabulary binary, numbers binary, counts binary"
+WORDS = "shard bigint, numbers binary, ids binary, id int, lang string, word string, f bigint"
 LEVEL = "shard bigint, numbers binary, starts binary, block bigint, filter binary"
 COUNTED = "shard bigint, block bigint, flags binary, words array<int>, f bigint"
 
 
+def arrow_schema(ddl: str) -> pa.Schema:
+    kinds = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string(), "binary": pa.binary()}
+    kinds["array<int>"] = pa.list_(pa.int32())
+    return pa.schema([(name, kinds[kind]) for name, kind in (f.split() for f in ddl.split(", "))])
+
+
+# --- compact columns -------------------------------------------------------------------------------
+
+
+def squeeze(values: np.ndarray) -> bytes:
+    """Non-negative integers, byte by byte: all lowest bytes first, then all next ones as far as any
+    value has them. Small values cost little."""
+    width = max(1, -(-int(values.max(initial=0)).bit_length() // 8))
+    planes = values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T
+    return bytes([width]) + zstandard.compress(planes.tobytes(), 1)
+
+
+def unsqueeze(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.decompress(data[1:]), np.uint8).reshape(data[0], -1)
+    out = np.zeros((planes.shape[1], 8), np.uint8)
+    out[:, : data[0]] = planes.T
+    return out.view("<u8").reshape(-1).astype(np.int64)
+
+
+def squeeze_words(words: list[bytes]) -> bytes:
+    return zstandard.compress(b"\n".join(words), 1)  # no word holds a line end
+
+
+def unsqueeze_words(data: bytes) -> list[bytes]:
+    return zstandard.decompress(data).split(b"\n")
+
+
 # --- shards ----------------------------------------------------------------------------------------
 
 
@@ -54,14 +91,20 @@ def _parts(data: bytes, size: int):
     yield data[start:] if start else data
 
 
-def numbered_words(data: bytes) -> tuple[np.ndarray, list[str], np.ndarray]:
-    """Word numbers with 0 between pieces, the words by number, and how often each occurs."""
+def numbered_words(data: bytes) -> tuple[np.ndarray, list[bytes], np.ndarray]:
+    """Word numbers with 0 between pieces, the words by number from 1 on, the commonest first, and how
+    often each occurs."""
     found: defaultdict[bytes, int] = defaultdict()
     found.default_factory = found.__len__
     found[b"."] = 0
     tokens = data.replace(b".", b" . ").split()
     numbers = np.fromiter(map(found.__getitem__, tokens), np.int32, len(tokens))
-    return numbers, [w.decode() for w in found], np.bincount(numbers, minlength=len(found))
+    counts = np.bincount(numbers, minlength=len(found))[1:]
+    order = np.argsort(-counts, kind="stable")
+    rank = np.zeros(len(found), np.int32)
+    rank[order + 1] = np.arange(1, len(found), dtype=np.int32)
+    words = list(found)[1:]
+    return rank[numbers], [words[i] for i in order.tolist()], counts[order]
 
 
 def word_shards(docs: DataFrame, lang: str, text: str) -> DataFrame:
@@ -78,16 +121,19 @@ def word_shards(docs: DataFrame, lang: str, text: str) -> DataFrame:
             sizes.pop(name)
             for part in _parts(b".".join(held.pop(name)), SHARD_BYTES):
                 numbers, words, counts = numbered_words(part)
+                if not words:
+                    continue
                 row = {
                     "shard": task + made,
                     "lang": name,
-                    "words": int(counts[1:].sum()),
-                    "numbers": numbers.tobytes(),
-                    "vocabulary": words[1:],
-                    "counts": counts[1:],
+                    "words": int(counts.sum()),
+                    "kinds": len(words),
+                    "numbers": squeeze(numbers),
+                    "vocabulary": squeeze_words(words),
+                    "counts": squeeze(counts),
                 }
                 made += 1
-                yield pa.RecordBatch.from_pylist([row], schema=_SHARDS)
+                yield pa.RecordBatch.from_pylist([row], schema=arrow_schema(SHARDS))
 
         for batch in batches:
             for name, value in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
@@ -105,41 +151,65 @@ def word_shards(docs: DataFrame, lang: str, text: str) -> DataFrame:
     return chosen.mapInArrow(run, SHARDS)
 
 
-_SHARDS = pa.schema(
-    [
-        ("shard", pa.int64()), ("lang", pa.string()), ("words", pa.int64()), ("numbers", pa.binary()),
-        ("vocabulary", pa.list_(pa.string())), ("counts", pa.list_(pa.int64())),
-    ]
-)
-
-
-def frequent_words(shards: DataFrame, least: int) -> tuple[DataFrame, DataFrame]:
-    """(id, lang, word, f, n) of words found ``least`` times in a language, with ids from 1 without
-    gaps; and (shard, number, id), which of a shard's words they are."""
-    every = shards.select("shard", "lang", F.posexplode(F.arrays_zip("vocabulary", "counts")).alias("at", "w"))
-    every = every.select("shard", "lang", (F.col("at") + 1).alias("number"), "w.vocabulary", "w.counts")
-    often = every.groupBy("lang", "vocabulary").agg(F.sum("counts").alias("f")).where(F.col("f") >= least)
-    often = stored(often.withColumn("raw", F.monotonically_increasing_id()), "phrase-words")
-    # Numbers without gaps, from one count for each part of the table.
-    sizes = often.groupBy(F.shiftright("raw", 33).alias("part")).agg(F.count(F.lit(1)).alias("rows"))
-    earlier = W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)
-    offsets = sizes.select("part", F.coalesce(F.sum("rows").over(earlier), F.lit(0)).alias("offset"))
-    totals = shards.groupBy("lang").agg(F.sum("words").alias("n"))
-    words = (
-        often.withColumn("part", F.shiftright("raw", 33))
-        .join(offsets, "part")
-        .join(totals, "lang")
-        .select(
-            (F.col("offset") + F.col("raw").bitwiseAND((1 << 33) - 1) + 1).cast("int").alias("id"),
-            "lang",
-            F.col("vocabulary").alias("word"),
-            "f",
-            "n",
-        )
-    )
-    words = stored(words, "phrase-word-ids")
-    known = every.withColumnRenamed("vocabulary", "word").join(words.select("id", "lang", "word"), ["lang", "word"])
-    return words, stored(known.select("shard", "number", "id"), "phrase-known")
+def word_segments(shards: DataFrame, blocks: int) -> DataFrame:
+    """Each shard's words, numbers and counts, dealt into ``blocks`` by the word's hash."""
+
+    def run(batches):
+        for batch in batches:
+            for row in batch.to_pylist():
+                words, counts = unsqueeze_words(row["vocabulary"]), unsqueeze(row["counts"])
+                hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+                dealt = (hashes % np.uint64(blocks)).astype(np.int64)
+                order = np.argsort(dealt, kind="stable")
+                found, starts = np.unique(dealt[order], return_index=True)
+                rows = [
+                    {
+                        "shard": row["shard"],
+                        "lang": row["lang"],
+                        "block": block,
+                        "vocabulary": squeeze_words([words[i] for i in chosen.tolist()]),
+                        "numbers": squeeze(chosen + 1),
+                        "counts": squeeze(counts[chosen]),
+                    }
+                    for block, chosen in zip(found.tolist(), np.split(order, starts[1:]), strict=True)
+                ]
+                for i in range(0, len(rows), 256):
+                    yield pa.RecordBatch.from_pylist(rows[i : i + 256], schema=arrow_schema(SEGMENTS))
+
+    return shards.select("shard", "lang", "vocabulary", "counts").mapInArrow(run, SEGMENTS)
+
+
+def merged_words(segments: DataFrame, blocks: int, least: int) -> DataFrame:
+    """Rows (id, lang, word, f) of words found ``least`` times in a language, and for each shard and
+    block rows (shard, numbers, ids): which of its words they are. Ids are dealt from 1 on, to the
+    common words of a block first."""
+
+    def run(key, table):
+        block = key[0].as_py()
+        rows = [(s, n, unsqueeze_words(v), unsqueeze(m), unsqueeze(c)) for s, n, v, m, c in zip(
+            *(table[name].to_pylist() for name in ("shard", "lang", "vocabulary", "numbers", "counts")), strict=True
+        )]
+        totals: defaultdict[str, Counter] = defaultdict(Counter)
+        for _, lang, words, _, counts in rows:
+            total = totals[lang]
+            for word, count in zip(words, counts.tolist(), strict=True):
+                total[word] += count
+        often = [(-f, lang, word) for lang, total in totals.items() for word, f in total.items() if f >= least]
+        often.sort()
+        ids = {(lang, word): rank * blocks + block + 1 for rank, (_, lang, word) in enumerate(often)}
+        out = [
+            {"id": ids[lang, word], "lang": lang, "word": word.decode(), "f": -f} for f, lang, word in often
+        ]
+        for shard, lang, words, numbers, _ in rows:
+            known = [ids.get((lang, word), 0) for word in words]
+            known = np.array(known, np.int64)
+            if known.any():
+                held = known > 0
+                out.append({"shard": shard, "numbers": squeeze(numbers[held]), "ids": squeeze(known[held])})
+        return pa.Table.from_pylist(out, schema=arrow_schema(WORDS))
+
+    chosen = segments.select("block", "shard", "lang", "vocabulary", "numbers", "counts")
+    return chosen.groupBy("block").applyInArrow(run, WORDS)
 
 
 # --- counting --------------------------------------------------------------------------------------
@@ -207,7 +277,7 @@ def _level_rows(shard: int, numbers: np.ndarray, starts: np.ndarray, space: KeyS
     numbers, starts = _squeezed(numbers, starts, size)
     marks = np.zeros(len(numbers), bool)
     marks[starts] = True
-    rows = [{"shard": shard, "numbers": numbers.tobytes(), "starts": np.packbits(marks).tobytes()}]
+    rows = [{"shard": shard, "numbers": squeeze(numbers), "starts": np.packbits(marks).tobytes()}]
     left, right, place = _keys(space, numbers, starts, size, bits)
     counts = np.bincount(place, minlength=len(left))
     blocks, edges = space.edges(left)
@@ -217,12 +287,7 @@ def _level_rows(shard: int, numbers: np.ndarray, starts: np.ndarray, space: KeyS
     return pa.Table.from_pylist(rows, schema=_LEVEL)
 
 
-_LEVEL = pa.schema(
-    [
-        ("shard", pa.int64()), ("numbers", pa.binary()), ("starts", pa.binary()),
-        ("block", pa.int64()), ("filter", pa.binary()),
-    ]
-)
+_LEVEL = arrow_schema(LEVEL)
 
 
 def first_level(shards: DataFrame, known: DataFrame, space: KeySpace, bits: int) -> DataFrame:
@@ -231,9 +296,10 @@ def first_level(shards: DataFrame, known: DataFrame, space: KeySpace, bits: int)
     def run(key, shard, ids):
         if not shard.num_rows:
             return _LEVEL.empty_table()
-        numbers = np.frombuffer(shard["numbers"][0].as_py(), np.int32)
+        numbers = unsqueeze(shard["numbers"][0].as_py())
         table = np.zeros(int(numbers.max(initial=0)) + 1, np.int32)
-        table[ids["number"].to_numpy()] = ids["id"].to_numpy()
+        for known, given in zip(ids["numbers"].to_pylist(), ids["ids"].to_pylist(), strict=True):
+            table[unsqueeze(known)] = unsqueeze(given)
         numbers = table[numbers]
         starts = np.flatnonzero((numbers[:-1] > 0) & (numbers[1:] > 0))
         return _level_rows(key[0].as_py(), numbers, starts, space, 2, bits)
@@ -248,7 +314,7 @@ def next_level(level: DataFrame, counted: DataFrame, before: KeySpace, space: Ke
     def run(key, state, flags):
         if not state.num_rows:
             return _LEVEL.empty_table()
-        numbers = np.frombuffer(state["numbers"][0].as_py(), np.int32)
+        numbers = unsqueeze(state["numbers"][0].as_py())
         marks = np.unpackbits(np.frombuffer(state["starts"][0].as_py(), np.uint8), count=len(numbers))
         starts = np.flatnonzero(marks)
         left, _, place = _keys(before, numbers, starts, size - 1, bits)
@@ -300,7 +366,13 @@ def frequent_phrases(docs: DataFrame, *, lang: str, text: str, least: int, longe
     """The words (id, lang, word, f, n), and the phrases (words, f) of 1 to ``longest`` ids that occur
     ``least`` times or more."""
     shards = stored(word_shards(docs, lang, text), "phrase-shards")
-    words, known = frequent_words(shards, least)
+    kinds = shards.agg(F.sum("kinds")).first()[0] or 0
+    blocks = -(-kinds // BLOCK_WORDS) or 1
+    merged = stored(merged_words(word_segments(shards, blocks), blocks, least), "phrase-words")
+    totals = shards.groupBy("lang").agg(F.sum("words").alias("n"))
+    words = merged.where(F.col("id").isNotNull()).select("id", "lang", "word", "f").join(totals, "lang")
+    words = stored(words, "phrase-word-ids")
+    known = merged.where(F.col("ids").isNotNull()).select("shard", "numbers", "ids")
     highest, total = words.agg(F.max("id"), F.sum("f")).first()
     bits = max(1, int(highest or 0).bit_length())
     if bits > WORD_BITS:
@@ -350,8 +422,6 @@ def collocations(
     parts = found.select(F.col("words").alias("part"), F.col("f"))
     cuts = cuts.join(parts.select(F.col("part").alias("head"), F.col("f").alias("l")), "head")
     cuts = cuts.join(parts.select(F.col("part").alias("tail"), F.col("f").alias("r")), "tail")
-    # n is the same for all cuts of a phrase, so the lowest score is that of the largest l * r,
-    # but equal scores after flooring go to the smallest k: the score itself has to decide.
     spelled = (
         longer.select("words", F.posexplode("words").alias("at", "id"))
         .join(words.select("id", "lang", "word", "n"), "id")

@@ -4,7 +4,8 @@ A key of up to 128 bits is a left and a right half. A Feistel network permutes i
 evenly and each can be had back. The permuted key's first bits say which block of the key space it
 lies in, the next ones are its quotient and all others its remainder. A filter holds one block: a bit
 for each quotient that occurs, a bit at the end of each quotient's run, the remainders in full, and
-the counters, of one byte where they fit. Filters are sorted, so those of several shards merge.
+the counters: a bit for each key that occurs more than once, then one byte for each of those, and
+eight for those that need more. Filters are sorted, so those of several shards merge.
 """
 
 from __future__ import annotations
@@ -15,7 +16,9 @@ import numpy as np
 
 # Odd multipliers that mix the halves.
 MULTIPLIERS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)
-HEADER = np.dtype([("entries", "<u4"), ("quotient", "u1"), ("left", "u1"), ("right", "u1"), ("large", "<u4")])
+HEADER = np.dtype(
+    [("entries", "<u4"), ("quotient", "u1"), ("left", "u1"), ("right", "u1"), ("many", "<u4"), ("large", "<u4")]
+)
 
 
 def _mask(bits: int) -> np.uint64:
@@ -98,9 +101,10 @@ def encode(space: KeySpace, left: np.ndarray, right: np.ndarray, counts: np.ndar
     occupied[quotients] = True
     ends = np.ones(entries, bool)
     ends[:-1] = quotients[1:] != quotients[:-1]
-    small = np.minimum(counts, 255).astype(np.uint8)
-    large = counts[small == 255].astype("<u8")
-    header = np.array((entries, quotient_bits, rest - quotient_bits, space.right, len(large)), HEADER)
+    many = counts > 1
+    small = np.minimum(counts[many], 255).astype(np.uint8)
+    large = counts[counts >= 255].astype("<u8")
+    header = np.array((entries, quotient_bits, rest - quotient_bits, space.right, len(small), len(large)), HEADER)
     return b"".join(
         [
             header.tobytes(),
@@ -108,6 +112,7 @@ def encode(space: KeySpace, left: np.ndarray, right: np.ndarray, counts: np.ndar
             np.packbits(ends).tobytes(),
             _columns(left & _mask(rest - quotient_bits), rest - quotient_bits),
             _columns(right, space.right),
+            np.packbits(many).tobytes(),
             small.tobytes(),
             large.tobytes(),
         ]
@@ -128,9 +133,14 @@ def decode(space: KeySpace, block: int, data: bytes) -> tuple[np.ndarray, np.nda
     quotients = occupied[np.cumsum(ends) - ends].astype(np.uint64)
     low, at = _values(data, at, entries, rest)
     right, at = _values(data, at, entries, int(header["right"]))
-    counts = np.frombuffer(data, np.uint8, entries, at).astype(np.int64)
-    at += entries
-    counts[counts == 255] = np.frombuffer(data, "<u8", int(header["large"]), at)
+    size = -(-entries // 8)
+    many = np.unpackbits(np.frombuffer(data, np.uint8, size, at), count=entries).astype(bool)
+    at += size
+    more = np.frombuffer(data, np.uint8, int(header["many"]), at).astype(np.int64)
+    at += len(more)
+    more[more == 255] = np.frombuffer(data, "<u8", int(header["large"]), at)
+    counts = np.ones(entries, np.int64)
+    counts[many] = more
     first = np.uint64(block << (space.left - space.block))
     left = first | (quotients << np.uint64(rest) if rest < 64 else np.uint64(0)) | low
     return left, right, counts

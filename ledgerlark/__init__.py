@@ -6,6 +6,7 @@ from ledgerlark.operators.alerts import AlertLocation, AlertType, combine, confo
 from ledgerlark.operators.cadence import cadence_misses, missing_invoices
 from ledgerlark.operators.dormant import dormant_vendors
 from ledgerlark.operators.spend import SpendBand, large_months
+from ledgerlark.plans.increments import SignalState
 from ledgerlark.plans.registry import Signal, register_signal, with_names
 from ledgerlark.plans.run import execute_config, run_config, run_signals
 from ledgerlark.schema import (
@@ -16,6 +17,7 @@ from ledgerlark.schema import (
     TableSpec,
 )
 from ledgerlark.sources.sinks import read_alerts, write_alerts
+from ledgerlark.sources.versions import VersionConflict, VersionedFolder
 from ledgerlark.sources.tables import read_typed, stage
 
 __all__ = [
@@ -27,8 +29,11 @@ __all__ = [
     "InvoiceColumns",
     "LINE_ITEM_SPEC",
     "Signal",
+    "SignalState",
     "SpendBand",
     "TableSpec",
+    "VersionConflict",
+    "VersionedFolder",
     "accrual_alerts",
     "cadence_misses",
     "combine",

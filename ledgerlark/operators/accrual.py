@@ -56,6 +56,11 @@ def accrual_alerts(
         .groupBy("vendor", "invoice", "issued")
         .agg(F.max("period_end").alias("period_end"))
     )
+    return accrual_of(late, rules)
+
+
+def accrual_of(late: DataFrame, rules: str = "code") -> DataFrame:
+    """The alerts of (vendor, invoice, issued, period_end) rows past their window."""
     return late.select(
         F.col("vendor").alias("canonical_vendor_id"),
         F.col("invoice").alias("invoice_id"),

@@ -33,11 +33,14 @@ def dormant_vendors(
         {columns.vendor: ID_LIKE, columns.invoice: ID_LIKE, columns.date: DATE_LIKE},
         "dormant_vendors",
     )
+    return dormant_from_days(vendor_days(latest_invoice_dates(invoices, columns)), window=window, rules=rules)
+
+
+def dormant_from_days(days: DataFrame, *, window: int = 90, rules: str = "code") -> DataFrame:
+    """The alerts of ``vendor_days`` rows."""
     by_vendor = Window.partitionBy("vendor").orderBy("day")
-    gaps = (
-        vendor_days(latest_invoice_dates(invoices, columns))
-        .withColumn("previous", F.lag("closing").over(by_vendor))
-        .where(F.datediff("day", "previous") > window)
+    gaps = days.withColumn("previous", F.lag("closing").over(by_vendor)).where(
+        F.datediff("day", "previous") > window
     )
     return gaps.select(
         F.col("vendor").alias("canonical_vendor_id"),

@@ -107,14 +107,25 @@ def spend_history(
     when that is given. The window holds one row per vendor and month. ``spend`` and ``total``
     are in units.
     """
+    return history_of_months(
+        monthly_spend(invoices, columns),
+        window_days=window_days,
+        lookback_months=lookback_months,
+        include_current=include_current,
+    )
+
+
+def history_of_months(
+    monthly: DataFrame, *, window_days: int = 365, lookback_months: int | None = None, include_current: bool = False
+) -> DataFrame:
+    """``spend_history`` of rows as ``monthly_spend`` gives them."""
     frame = (
         trailing_days(window_days)
         if lookback_months is None
         else trailing_months(lookback_months, include_current)
     )
     return (
-        monthly_spend(invoices, columns)
-        .withColumn("spend", units(F.col("spend")))
+        monthly.withColumn("spend", units(F.col("spend")))
         .withColumns({"total": F.sum("spend").over(frame), "months": F.count("spend").over(frame)})
     )
 
@@ -163,6 +174,14 @@ def large_months(
         include_current=include_current,
         columns=columns,
     )
+    return large_from_history(history, bands=bands, rules=rules)
+
+
+def large_from_history(
+    history: DataFrame, *, bands: tuple[SpendBand, ...] | None = None, rules: str = "code"
+) -> DataFrame:
+    """The alerts of ``spend_history`` rows."""
+    documented = rules == "documented"
     large = history.where(reduce(or_, [fires(band) for band in bands or BANDS[rules]]))
     spend, total, months = F.col("spend"), F.col("total"), F.col("months")
     versus = (

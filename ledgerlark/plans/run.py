@@ -104,14 +104,20 @@ def execute_config(spark: SparkSession, config: Mapping[str, Any], **options) ->
     """Run a configuration, write its alerts to ``OutputPath`` and return them as written.
 
     CSV sources are staged (see ``run_config``) wherever the session names a checkpoint folder.
-    By ``rules="documented"``, types and locations are written by name.
+    By ``rules="documented"``, types and locations are written by name. ``"OutputVersioned": true``
+    keeps the output before it readable until the new one is whole (see ``write_alerts``).
     """
     _require_sections(config)
     options.setdefault("staged", checkpoint_folder(spark) is not None)
     output_format = config.get("OutputFormat", "csv")
     alerts = run_config(spark, config, **options)
     named = options.get("rules") == "documented"
-    write_alerts(with_names(alerts) if named else alerts, config["OutputPath"], output_format)
+    write_alerts(
+        with_names(alerts) if named else alerts,
+        config["OutputPath"],
+        output_format,
+        versioned=bool(config.get("OutputVersioned", False)),
+    )
     return read_alerts(spark, config["OutputPath"], output_format, named=named)
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlark.schema import ALERT_SCHEMA
+from ledgerlark.sources.versions import VersionedFolder
 
 #: Codes written by name instead of number (see ``with_names``).
 NAMED_ALERT_SCHEMA = T.StructType(
@@ -43,11 +44,20 @@ def _texts(df: DataFrame, change) -> DataFrame:
     )
 
 
-def write_alerts(alerts: DataFrame, path: str, format: str = "csv") -> None:
+def write_alerts(alerts: DataFrame, path: str, format: str = "csv", *, versioned: bool = False) -> None:
     """Overwrite ``path`` with the alerts: CSV with a header, or parquet split by type.
 
     In CSV a NULL is ``\\N``, a line break ``\\n`` or ``\\r`` and a backslash ``\\\\``; blanks stay.
+    Overwriting removes the old alerts before the new ones are there. With ``versioned`` they are
+    written aside and then named by a manifest, which ``read_alerts`` follows: a run that fails, or
+    loses against another one (``VersionConflict``), leaves the alerts before it readable.
     """
+    if versioned:
+        folder = VersionedFolder(alerts.sparkSession, path)
+        base, part = folder.current()[0], folder.new_part()
+        write_alerts(alerts, part, format)
+        folder.publish(base, {"alerts": part, "format": format})
+        return
     if format == "csv":
         options = CSV | {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
         _texts(alerts, _escaped).write.mode("overwrite").options(**options).csv(path)
@@ -60,8 +70,12 @@ def write_alerts(alerts: DataFrame, path: str, format: str = "csv") -> None:
 def read_alerts(spark: SparkSession, path: str, format: str = "csv", *, named: bool = False) -> DataFrame:
     """Read alerts written by ``write_alerts``, with the alert schema and no inference.
 
-    ``named`` says that type and location were written by name. A malformed CSV row raises.
+    ``named`` says that type and location were written by name. A malformed CSV row raises. Where
+    ``path`` has versions, the newest is read, in the format it was written in.
     """
+    version, content = VersionedFolder(spark, path).current()
+    if version:
+        path, format = content["alerts"], content["format"]
     schema = NAMED_ALERT_SCHEMA if named else ALERT_SCHEMA
     reader = spark.read.schema(schema)
     if format == "csv":

@@ -11,7 +11,9 @@ from workload.mappings import line_items, sparse_invoices
 from workload.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
-EAGER = {"sig_from_config", "load_typed_csv", "sink_csv_roundtrip"}  # they write CSV first
+EAGER = {  # they write first
+    "sig_from_config", "load_typed_csv", "sink_csv_roundtrip", "sig_all_incremental", "sig_untidy_incremental",
+}
 
 
 def physical(df):

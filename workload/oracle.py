@@ -357,8 +357,8 @@ missing AS (
 
 def _id(alert_type: int, invoice: str, extra: str = "") -> str:
     key = (
-        f"'{alert_type}' || chr(31) || canonical_vendor_id || chr(31) || {invoice} || chr(31) "
-        f"|| strftime(insight_date, '%Y-%m-%d') || chr(31) || insight_text{extra}"
+        f"'{alert_type}' || chr(31) || coalesce(canonical_vendor_id, chr(30)) || chr(31) || {invoice} || chr(31) "
+        f"|| strftime(insight_date, '%Y-%m-%d') || chr(31) || coalesce(insight_text, chr(30)){extra}"
     )
     digest = f"md5({key})"
     parts = [(1, 8), (9, 4), (13, 4), (17, 4), (21, 12)]
@@ -434,6 +434,22 @@ ORACLE: dict[str, str] = {
     "sig_all": _all(M1),
     "sig_all_documented": _all(M1, "documented"),
     "sig_from_config": _all(M2),
+    "sig_all_incremental": _all(M1),
+    "sig_untidy_incremental": _with(
+        M4,
+        LATEST,
+        LAGGED,
+        _dormant(),
+        AMOUNTS,
+        MONTHLY,
+        HISTORY_MILLIONTHS,
+        LARGE_MILLIONTHS,
+        MISSES,
+        _missing(),
+        select="\nUNION ALL\n".join(
+            [_alerts("dormant", 1, 1), _alerts("large", 3, 2), _alerts("missing", 4, 2)]
+        ),
+    ),
     "sig_dormant_vendor": _with(
         M1, LATEST, LAGGED, _dormant(), select=f"SELECT {_INSIGHT} FROM dormant"
     ),

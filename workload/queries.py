@@ -31,6 +31,7 @@ from ledgerlark.operators.invoices import (
     latest_invoice_dates,
     with_previous_invoice,
 )
+from ledgerlark.plans.increments import SignalState
 from ledgerlark.plans.run import run_config, run_signals
 from ledgerlark.schema import InvoiceColumns, TableSpec
 from ledgerlark.sources.calendar import calendar, calendar_bounds
@@ -236,6 +237,26 @@ def sig_from_config(spark, sf_dir):
     return run_config(spark, config)
 
 
+# --- increments --------------------------------------------------------------------------------
+
+
+def _in_batches(spark, invoices, lines=None):
+    """The state after three batches; an invoice's rows, and its lines, may come in different ones."""
+    state = SignalState(spark, scratch(spark, "signal-state"), buckets=8)
+    for batch in range(3):
+        part = invoices.where(F.pmod(F.xxhash64("invoice_id", "invoice_date"), F.lit(3)) == batch)
+        state.apply(part, lines and lines.where(F.pmod(F.xxhash64("line_item_id"), F.lit(3)) == batch))
+    return state
+
+
+def sig_all_incremental(spark, sf_dir):
+    return _in_batches(spark, sparse_invoices(spark, sf_dir), line_items(spark, sf_dir)).alerts()
+
+
+def sig_untidy_incremental(spark, sf_dir):
+    return _in_batches(spark, untidy_invoices(spark, sf_dir)).alerts()
+
+
 # --- sources and sinks -------------------------------------------------------------------------
 
 
@@ -536,6 +557,8 @@ QUERIES: dict[str, Query] = {
         sig_daily_expand,
         sig_normalize,
         sig_normalize_documented,
+        sig_all_incremental,
+        sig_untidy_incremental,
         load_typed_csv,
         sink_csv_roundtrip,
         cal_bounds,

@@ -13,10 +13,13 @@ from __future__ import annotations
 import os
 import re
 import zlib
+from array import array
 from collections.abc import Callable, Iterable, Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -24,72 +27,119 @@ from pyspark.sql import Window as W
 from ledgerlark.llm.columns import quoted
 from ledgerlark.sources.scratch import stored
 
-STRETCHES, WORDS = 400_000, 200_000  # entries of the two tables of a worker
+HELD = 100_000_000  # bytes of each of a worker's two tables
+CHUNK = 8_000_000  # characters worked on at a time, or one longer text
+LONG = 200  # characters: longer stretches and words are not kept
 #: Texts of these characters alone are split at white space, and each stretch is looked up; the
 #: tokenizer's own normal form changes nothing in them but the case. Others go to it whole.
 PLAIN = re.compile("[\\t\\n\\r\\x20-\\x7eÀ-ÖØ-öø-ÿ¡¿«»°§·–—‘’“”…€]*")
+PLAIN_CHARACTERS = [c for c in map(chr, range(0x2100)) if PLAIN.fullmatch(c)]
 #: The tokenizer's own pattern for words, over those characters in lower case.
 WORD = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\\sa-z0-9ß-öø-ÿ]+")
 PIECE_ROWS = 50_000
 
 
+class Known(dict):
+    """What a worker has worked out, by text, up to ``limit`` bytes; beyond it the half that came
+    first goes. Texts of more than ``LONG`` characters are never kept; with ``twice``, only those met
+    before are, as most occur once."""
+
+    EACH = 200  # bytes of an entry besides its characters and ids
+
+    def __init__(self, work_out: Callable[[str], bytes], limit: int, twice: bool):
+        self.work_out, self.limit, self.held = work_out, limit, 0
+        self.met: set[int] | None = set() if twice else None
+
+    def __missing__(self, text: str) -> bytes:
+        ids = self.work_out(text)
+        if len(text) > LONG:
+            return ids
+        if self.met is not None:
+            key = hash(text)
+            if key not in self.met:
+                if len(self.met) >= self.limit // 100:
+                    self.met.clear()
+                self.met.add(key)
+                return ids
+        self.held += 2 * len(text) + len(ids) + self.EACH
+        if self.held > self.limit:
+            kept = list(islice(self.items(), len(self) // 2, None))
+            self.clear()
+            self.update(kept)
+            self.held = sum(2 * len(t) + len(i) + self.EACH for t, i in kept)
+        self[text] = ids
+        return ids
+
+
 class WordTokenizer:
     """Ids of whole texts as little-endian unsigned 32-bit bytes, equal to the library's own.
 
     The tokenizer parts texts at white space and into words before anything else, so the ids of a
-    stretch without white space do not depend on its neighbours, nor do those of a word. Bounded
-    tables keep those seen; words not seen go to the tokenizer many at a time.
+    stretch without white space do not depend on its neighbours, nor do those of a word: the model
+    alone gives them, from the word's bytes as the tokenizer spells them. Tables of bounded size keep
+    words, and stretches met twice.
     """
 
-    def __init__(self, path: str):
-        from tokenizers import Tokenizer
+    def __init__(self, path: str, held: int = HELD):
+        from tokenizers import Tokenizer, pre_tokenizers
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.whole = Tokenizer.from_file(path)
         self.special = [t.content for t in self.whole.get_added_tokens_decoder().values()]
-        self.stretches: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
+        spell = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+        self.spelling = {ord(c): spell(c)[0][0] for c in PLAIN_CHARACTERS if not c.isspace()}
+        self.model = self.whole.model
+        self.words = Known(self._word, held, twice=False)
+        self.stretches = Known(self._stretch, held, twice=True)
+        probe = "".join(PLAIN_CHARACTERS) + " it's a b1 über-groß 'll don't 12.50€ " + "probe" * 20
+        if next(self.encode([probe])) != self._ids(probe):
+            raise ValueError("the tokenizer works in a way that is not built here")
 
     def _ids(self, text: str) -> bytes:
         return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _learn(self, stretches: list[str]) -> dict[str, bytes]:
-        parts = [WORD.findall(s) for s in stretches]
-        known = self.words
-        new = [w for w in dict.fromkeys(w for words in parts for w in words) if w not in known]
-        if len(known) + len(new) > WORDS:
-            known = {w: known[w] for words in parts for w in words if w in known}
-        if new:
-            encoded = self.whole.encode(" ".join(new), add_special_tokens=False)
-            ids, owner = np.array(encoded.ids, "<u4"), np.array(encoded.word_ids)
-            cuts = [0, *(np.flatnonzero(np.diff(owner)) + 1).tolist(), len(ids)]
-            if len(cuts) != len(new) + 1:
-                raise ValueError("the tokenizer parts words in a way that is not built here")
-            data = ids.tobytes()
-            known.update((w, data[4 * a : 4 * b]) for w, a, b in zip(new, cuts, cuts[1:]))
-        found = {s: b"".join(map(known.__getitem__, words)) for s, words in zip(stretches, parts, strict=True)}
-        self.words = known if len(known) <= WORDS else {}
-        return found
+    def _word(self, word: str) -> bytes:
+        tokens = self.model.tokenize(word.translate(self.spelling))
+        return array("I", [t.id for t in tokens]).tobytes()
+
+    def _stretch(self, stretch: str) -> bytes:
+        if stretch.isalpha():  # one word
+            return self.words[stretch]
+        return b"".join(map(self.words.__getitem__, WORD.findall(stretch)))
+
+    def _plain(self, texts: list[str]) -> Iterator[bytes]:
+        """The ids of texts of plain characters: each different stretch is looked up once, and its ids
+        are laid out wherever it stands."""
+        lists = pc.ascii_split_whitespace(pa.array([t.lower() for t in texts], pa.large_string()))
+        stretches = lists.values.dictionary_encode()
+        codes = stretches.indices.to_numpy()
+        found = list(map(self.stretches.__getitem__, stretches.dictionary.to_pylist()))
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        ids = np.frombuffer(b"".join(found), "<u4")
+        starts = np.cumsum(sizes) - sizes
+        laid = sizes[codes]
+        ends = np.concatenate([[0], np.cumsum(laid)])
+        places = np.repeat(starts[codes] - ends[:-1], laid) + np.arange(ends[-1])
+        data = ids[places].tobytes()
+        cuts = (4 * ends[lists.offsets.to_numpy()]).tolist()
+        return (data[a:b] for a, b in zip(cuts, cuts[1:]))
 
     def encode(self, texts: Iterable[str]) -> Iterator[bytes]:
         """The ids of each text, in order."""
-        for text in texts:
-            if not PLAIN.fullmatch(text) or any(s in text for s in self.special):
-                yield self._ids(text)
-                continue
-            stretches = text.lower().split()
-            known = self.stretches
-            try:
-                yield b"".join(map(known.__getitem__, stretches))
-            except KeyError:
-                found = self._learn([s for s in dict.fromkeys(stretches) if s not in known])
-                if len(known) + len(found) > STRETCHES:
-                    found |= {s: known[s] for s in stretches if s in known}
-                    known = self.stretches = {}
-                known.update(found)
-                yield b"".join(map(known.__getitem__, stretches))
-                if len(known) > STRETCHES:  # one very long text
-                    self.stretches = {}
+        texts = iter(texts)
+        while True:
+            held, size = [], 0
+            for text in texts:
+                held.append(text)
+                size += len(text)
+                if size >= CHUNK:
+                    break
+            if not held:
+                return
+            plain = [bool(PLAIN.fullmatch(t)) and not any(s in t for s in self.special) for t in held]
+            done = self._plain([t for t, is_plain in zip(held, plain, strict=True) if is_plain])
+            for text, is_plain in zip(held, plain, strict=True):
+                yield next(done) if is_plain else self._ids(text)
 
 
 _loaded: dict[str, WordTokenizer] = {}

@@ -8,7 +8,7 @@ from ledgerlark.operators.dormant import dormant_vendors
 from ledgerlark.operators.spend import SpendBand, large_months
 from ledgerlark.plans.increments import SignalState
 from ledgerlark.plans.registry import Signal, register_signal, with_names
-from ledgerlark.plans.run import execute_config, run_config, run_signals
+from ledgerlark.plans.run import execute_config, run_config, run_signals, shared_invoices
 from ledgerlark.schema import (
     ALERT_SCHEMA,
     INVOICE_SPEC,
@@ -18,7 +18,7 @@ from ledgerlark.schema import (
 )
 from ledgerlark.sources.sinks import read_alerts, write_alerts
 from ledgerlark.sources.versions import VersionConflict, VersionedFolder
-from ledgerlark.sources.tables import read_typed, stage
+from ledgerlark.sources.tables import column_kinds, infer_spec, read_typed, read_with_rejects, stage
 
 __all__ = [
     "ALERT_SCHEMA",
@@ -36,17 +36,21 @@ __all__ = [
     "VersionedFolder",
     "accrual_alerts",
     "cadence_misses",
+    "column_kinds",
     "combine",
     "conform",
     "dormant_vendors",
     "execute_config",
+    "infer_spec",
     "large_months",
     "missing_invoices",
     "read_alerts",
     "read_typed",
+    "read_with_rejects",
     "register_signal",
     "run_config",
     "run_signals",
+    "shared_invoices",
     "stage",
     "with_names",
     "write_alerts",

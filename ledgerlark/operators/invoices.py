@@ -8,10 +8,7 @@ per vendor the calendar bounds.
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import and_
-
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlark.functions.money import exact_amount
@@ -70,53 +67,40 @@ def vendor_days(latest: DataFrame) -> DataFrame:
     )
 
 
-def left_join_null_safe(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
-    """Left join on ``keys`` where NULL keys match each other; right keys are dropped."""
-    renamed = right.withColumnsRenamed({key: f"{key}_right" for key in keys})
-    condition = reduce(and_, [F.col(key).eqNullSafe(F.col(f"{key}_right")) for key in keys])
-    return left.join(renamed, condition, "left").drop(*[f"{key}_right" for key in keys])
+def present(id: Column) -> Column:
+    """An id as a text that is never NULL, so that NULLs equal each other; it keeps the order, NULL first."""
+    return F.coalesce(F.concat(F.lit("="), id), F.lit("-"))
 
 
 def with_previous_invoice(latest: DataFrame) -> DataFrame:
     """Each invoice with the date of the vendor's previous one, ordered by (date, invoice id).
 
-    A plain ``lag`` over the vendor would pull all invoices of a hot vendor into one task. Here
-    only distinct moments need a predecessor, and they are looked up in three steps: within the
-    second (at most 10^6 microseconds), within the day (at most 86,400 seconds) and within the
-    vendor (one row per calendar day). Any further invoice at the same moment follows a twin, so
-    its predecessor has its own date.
+    A plain ``lag`` over the vendor would pull all invoices of a hot vendor into one task. Here only
+    distinct moments need a predecessor, and a vendor's moments are looked at hour by hour. The first
+    of an hour follows the last moment of the vendor's hour before: one row per vendor and active
+    hour, bounded by the calendar, carries that over. Any further invoice at the same moment follows a
+    twin, so its predecessor has its own date. One exchange each for the moments, the hours and the
+    carried rows, and two for the join by invoice.
     """
-    dated = latest.where(F.col("issued").isNotNull())
+    keyed = latest.select(
+        present(F.col("vendor")).alias("v"), present(F.col("invoice")).alias("i"), "vendor", "invoice", "issued"
+    )
     moments = (
-        dated.groupBy("vendor", "issued")
-        .agg(F.min(F.struct("invoice")).alias("first"))
-        .select(
-            "vendor",
-            "issued",
-            F.col("first.invoice").alias("invoice"),
-            F.date_trunc("second", "issued").alias("second"),
-            F.to_date("issued").alias("day"),
-        )
+        keyed.where(F.col("issued").isNotNull())
+        .groupBy("v", "issued")
+        .agg(F.min("i").alias("i"))
+        .withColumn("hour", F.date_trunc("hour", "issued"))
     )
-    seconds = moments.groupBy("vendor", "second", "day").agg(F.max("issued").alias("last"))
-    days = seconds.groupBy("vendor", "day").agg(F.max("last").alias("last"))
-
-    def lagged(df: DataFrame, within: list[str], order: str, value: str, name: str) -> DataFrame:
-        window = Window.partitionBy(*within).orderBy(order)
-        return df.withColumn(name, F.lag(value).over(window))
-
-    in_second = lagged(moments, ["vendor", "second"], "issued", "issued", "before_in_second")
-    in_day = lagged(seconds, ["vendor", "day"], "second", "last", "before_in_day")
-    in_vendor = lagged(days, ["vendor"], "day", "last", "before_in_vendor")
-
-    openers = left_join_null_safe(in_second, in_day.drop("day", "last"), ["vendor", "second"])
-    openers = left_join_null_safe(openers, in_vendor.drop("last"), ["vendor", "day"]).select(
-        "vendor",
-        "invoice",
-        F.coalesce("before_in_second", "before_in_day", "before_in_vendor").alias("before"),
-        F.lit(True).alias("opens_moment"),
+    in_hour = Window.partitionBy("v", "hour")
+    seen = moments.withColumns(
+        {"before": F.lag("issued").over(in_hour.orderBy("issued")), "last": F.max("issued").over(in_hour)}
+    )
+    first = seen.where(F.col("before").isNull()).withColumn(
+        "before", F.lag("last").over(Window.partitionBy("v").orderBy("hour"))
     )
-    return left_join_null_safe(latest, openers, ["vendor", "invoice"]).select(
+    further = seen.where(F.col("before").isNotNull())
+    openers = first.unionByName(further).select("v", "i", "before", F.lit(True).alias("opens_moment"))
+    return keyed.join(openers, ["v", "i"], "left").select(
         "vendor",
         "invoice",
         "issued",

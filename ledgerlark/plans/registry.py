@@ -20,7 +20,8 @@ from ledgerlark.operators.spend import large_months
 class Signal:
     """A detector: its function, its codes, and which configuration argument names which table.
 
-    ``takes_rules`` says whether the function has a ``rules`` argument.
+    ``takes_rules`` says whether the function has a ``rules`` argument, ``reduces_copies`` whether it
+    gives the same for one row per (vendor, invoice, date), with the largest amount and latest end.
     """
 
     detect: Callable[..., DataFrame]
@@ -28,13 +29,14 @@ class Signal:
     location: int
     tables: dict[str, str]
     takes_rules: bool = False
+    reduces_copies: bool = False
 
 
 _INVOICES = {"invoice_data_loader": "invoices"}
 
 SIGNALS: dict[str, Signal] = {
     "VendorNotSeenInAWhile": Signal(
-        dormant_vendors, AlertType.VendorNotSeenInAWhile, AlertLocation.Invoice, _INVOICES, True
+        dormant_vendors, AlertType.VendorNotSeenInAWhile, AlertLocation.Invoice, _INVOICES, True, True
     ),
     "AccrualAlert": Signal(
         accrual_alerts,
@@ -42,12 +44,13 @@ SIGNALS: dict[str, Signal] = {
         AlertLocation.Invoice,
         {**_INVOICES, "line_item_data_loader": "line_items"},
         True,
+        True,
     ),
     "LargeMonthIncreaseMtd": Signal(
-        large_months, AlertType.LargeMonthIncreaseMtd, AlertLocation.Vendor, _INVOICES, True
+        large_months, AlertType.LargeMonthIncreaseMtd, AlertLocation.Vendor, _INVOICES, True, True
     ),
     "NoInvoiceReceived": Signal(
-        missing_invoices, AlertType.NoInvoiceReceived, AlertLocation.Vendor, _INVOICES, True
+        missing_invoices, AlertType.NoInvoiceReceived, AlertLocation.Vendor, _INVOICES, True, True
     ),
 }
 

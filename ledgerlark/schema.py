@@ -42,6 +42,9 @@ class InvoiceColumns:
     line_item: str = "line_item_id"
 
 
+SPEC_LISTS = ("string_columns", "float_columns", "integer_columns", "datetime_columns")
+
+
 @dataclass(frozen=True)
 class TableSpec:
     """Declared columns of a source table, by type. Undeclared columns are dropped."""
@@ -53,7 +56,7 @@ class TableSpec:
     float_type: T.DataType = field(default=MONEY)
 
     def __post_init__(self) -> None:
-        for name in ("string_columns", "float_columns", "integer_columns", "datetime_columns"):
+        for name in SPEC_LISTS:
             object.__setattr__(self, name, tuple(getattr(self, name)))
         repeated = sorted(c for c, n in Counter(self.names).items() if n > 1)
         if repeated:

@@ -10,6 +10,7 @@ from uuid import uuid4
 from pyspark.sql import DataFrame, SparkSession
 
 _own: dict[str, str] = {}
+_marked: set[str] = set()
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -26,9 +27,33 @@ def shared_folder(spark: SparkSession) -> str:
     return _own[app]
 
 
+def run_folder(spark: SparkSession) -> str:
+    """This application's own folder in the shared one. Its JVM deletes it when it ends."""
+    folder = f"{shared_folder(spark)}/ledgerlark-{spark.sparkContext.applicationId}"
+    if folder not in _marked:
+        path, files = _hadoop(spark, folder)
+        files.mkdirs(path)
+        files.deleteOnExit(path)
+        _marked.add(folder)
+    return folder
+
+
+def _hadoop(spark: SparkSession, folder: str):
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    return path, path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def release(spark: SparkSession) -> None:
+    """Delete this application's folder now. Tables stored in it can be read no more."""
+    folder = run_folder(spark)
+    path, files = _hadoop(spark, folder)
+    files.delete(path, True)
+    _marked.discard(folder)
+
+
 def new_path(spark: SparkSession, name: str) -> str:
-    """A path below the shared folder that nothing else uses."""
-    return f"{shared_folder(spark)}/{name}-{uuid4().hex}"
+    """A path in this application's folder that nothing else uses."""
+    return f"{run_folder(spark)}/{name}-{uuid4().hex}"
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

@@ -6,13 +6,14 @@ import pytest
 from pyspark.sql import functions as F
 
 import ledgerlark as ll
-from ledgerlark.operators.invoices import invoice_lines
-from workload.mappings import line_items, sparse_invoices
+from ledgerlark.operators.invoices import invoice_lines, latest_invoice_dates, with_previous_invoice
+from workload.mappings import line_items, sparse_invoices, untidy_invoices
 from workload.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
 EAGER = {  # they write first
     "sig_from_config", "load_typed_csv", "sink_csv_roundtrip", "sig_all_incremental", "sig_untidy_incremental",
+    "load_typed_csv_rejects", "load_inferred_csv", "sig_all_shared",
 }
 
 
@@ -182,3 +183,36 @@ def test_newest_date_takes_no_scan_of_its_own(spark):
 def test_counters_take_no_object_aggregates(spark):
     plan = executed(ll.missing_invoices(sparse_invoices(spark, SF), rules="documented"))
     assert "ObjectHashAggregate" not in plan and "Generate explode(flatten" not in plan
+
+
+def test_previous_invoices_take_few_exchanges(spark):
+    lagged = with_previous_invoice(latest_invoice_dates(sparse_invoices(spark, SF), ll.InvoiceColumns()))
+    assert len(re.findall(r"(?<!Reused)Exchange hashpartitioning", executed(lagged))) <= 6
+
+
+def test_hot_vendor_is_split_for_previous_invoices(spark, split_eagerly):
+    """No task gets more of a vendor with a third of all invoices than an hour's distinct moments."""
+    table = hot(spark, untidy_invoices(spark, "/root/testdata/sf0.01"), "canonical_vendor_id", "7")
+    latest = latest_invoice_dates(table, ll.InvoiceColumns()).cache()
+    lagged = with_previous_invoice(latest)
+    rows = sorted(lagged.collect(), key=lambda r: tuple((x is not None, x) for x in (r["vendor"], r["issued"], r["invoice"])))
+    assert len(rows) == latest.count() and sum(r["vendor"] == "7" for r in rows) > len(rows) / 4
+    assert any(r["vendor"] is None for r in rows)
+    before = {}
+    for r in rows:
+        assert r["previous"] == before.get(r["vendor"])
+        before[r["vendor"]] = r["issued"]
+    windows = re.findall(r"Window \[[^\n]*windowspecdefinition\((\w+)#\d+, (\w+)", physical(lagged))
+    assert {(a, b) for a, b in windows} == {("v", "hour")}
+
+
+def test_shared_invoices_are_read_once(spark):
+    tables = {"inv": sparse_invoices(spark, SF), "lines": line_items(spark, SF)}
+    settings = {
+        "VendorNotSeenInAWhile": {"invoice_data_loader": "inv"},
+        "AccrualAlert": {"invoice_data_loader": "inv", "line_item_data_loader": "lines"},
+        "LargeMonthIncreaseMtd": {"invoice_data_loader": "inv"},
+        "NoInvoiceReceived": {"invoice_data_loader": "inv"},
+    }
+    files = ll.run_signals(tables, settings, shared=True).inputFiles()
+    assert not any("orders.parquet" in f for f in files) and any("staged-" in f for f in files)

@@ -1,14 +1,16 @@
 from datetime import date, datetime
 from decimal import Decimal
+from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 import ledgerlark as ll
 from ledgerlark.operators.alerts import with_names
 from ledgerlark.schema import ALERT_SCHEMA, TableSpec, require_types
 from ledgerlark.sources.sinks import read_alerts, write_alerts
-from ledgerlark.sources.tables import checkpoint_folder
+from ledgerlark.sources.scratch import release, run_folder
 from tests.helpers import found, invoices
 
 SPEC = ll.TableSpec(
@@ -185,7 +187,7 @@ def test_staged_config_run_reads_each_source_once(spark, tmp_path, monkeypatch):
     settings = config(tmp_path)
     staged = ll.run_config(spark, settings, staged=True)
     plan = staged._jdf.queryExecution().executedPlan().toString()
-    assert f"{checkpoint_folder(spark)}/staged-" in plan and "Format: CSV" not in plan
+    assert all(f"{run_folder(spark)}/staged-" in file for file in staged.inputFiles()) and "Format: CSV" not in plan
     names = ll.ALERT_SCHEMA.names
     assert found(staged, *names) == found(ll.run_config(spark, settings), *names)
     monkeypatch.setattr("ledgerlark.sources.tables.checkpoint_folder", lambda spark: None)
@@ -230,3 +232,86 @@ def test_documented_config_run_writes_names(spark, tmp_path):
         ("large_month_increase_mtd", "vendor"),
         ("no_invoice_received", "vendor"),
     }
+
+
+def test_versioned_sink_never_shows_half_a_result(spark, tmp_path):
+    path = str(tmp_path / "alerts")
+    alerts = ll.execute_config(spark, config(tmp_path)).cache()
+    ll.write_alerts(alerts, path, versioned=True)
+    before = found(ll.read_alerts(spark, path), *ll.ALERT_SCHEMA.names)
+    assert before == found(alerts, *ll.ALERT_SCHEMA.names)
+    failing = alerts.withColumn("glean_text", F.raise_error(F.lit("no")).cast("string"))
+    with pytest.raises(Exception):
+        ll.write_alerts(failing, path, versioned=True)
+    assert found(ll.read_alerts(spark, path), *ll.ALERT_SCHEMA.names) == before
+    folder = ll.VersionedFolder(spark, path)
+    base, content = folder.current()
+    ll.write_alerts(alerts.limit(1), path, "parquet", versioned=True)
+    assert ll.read_alerts(spark, path).count() == 1  # in the format it was written in
+    with pytest.raises(ll.VersionConflict):
+        folder.publish(base, content)
+    folder.prune(set(), keep=1)
+    assert ll.read_alerts(spark, path).count() == 1
+    assert len(list((tmp_path / "alerts" / "parts").iterdir())) == 1
+
+
+def test_versioned_output_of_a_configuration(spark, tmp_path):
+    settings = config(tmp_path) | {"OutputVersioned": True}
+    assert ll.execute_config(spark, settings).count() == 3
+    assert ll.execute_config(spark, settings).count() == 3
+    assert ll.VersionedFolder(spark, settings["OutputPath"]).current()[0] == 2
+
+
+def test_rejected_values_are_kept(spark, tmp_path):
+    bad = "x,yesterday,a,many,lots\nx,,,,\nx,2020-01-31,b,1,2.345\nx,2020-01-31,c\n"
+    path = written(tmp_path, GOOD + bad, "extra,invoice_date,invoice_id,lines,total_amount\n\"p,q\",2020-02-30,d,3,1\n")
+    clean, rejects = ll.read_with_rejects(spark, path, SPEC)
+    assert found(clean, *SPEC.names) == found(ll.read_typed(spark, path, SPEC), *SPEC.names)
+    assert clean.schema == ll.read_typed(spark, path, SPEC).schema
+    row = "x,yesterday,a,many,lots"
+    assert found(rejects, "column", "value", "reason", "row") == [
+        (None, None, "malformed row", "x,2020-01-31,c"),
+        ("invoice_date", "2020-02-30", "not a timestamp", '"p,q",2020-02-30,d,3,1'),
+        ("invoice_date", "yesterday", "not a timestamp", row),
+        ("lines", "many", "not a int", row),
+        ("total_amount", "lots", "not a decimal(24,6)", row),
+    ]
+    assert {r["file"].rsplit("/", 1)[-1] for r in rejects.collect()} == {"part-0.csv", "part-1.csv"}
+    assert "Format: CSV" not in clean._jdf.queryExecution().executedPlan().toString()
+
+
+def test_types_of_undeclared_columns(spark, tmp_path):
+    path = written(
+        tmp_path,
+        "id,n,big,x,day,moment,mixed,none,e\n"
+        "0012,1,3000000000,1.5,2020-01-31,2020-01-31 10:00:00,1,,1e3\n"
+        "7,-20,1,2,2020-1-1,2020-02-01 00:00:00,x,,.5\n"
+        ",0,5,,2020-12-31,,,,-2.\n",
+    )
+    kinds = {r["column"]: (r["kind"], r["filled"]) for r in ll.column_kinds(spark.read.option("header", True).csv(path)).collect()}
+    assert kinds == {
+        "id": ("string", 2), "n": ("integer", 3), "big": ("float", 3), "x": ("float", 2), "day": ("datetime", 3),
+        "moment": ("datetime", 2), "mixed": ("string", 2), "none": ("string", 0), "e": ("float", 3),
+    }
+    spec = ll.infer_spec(spark, path, declared=ll.TableSpec(string_columns=("n",)), columns=["n", "id", "x", "day"])
+    assert (spec.string_columns, spec.float_columns, spec.datetime_columns) == (("n", "id"), ("x",), ("day",))
+    assert ll.read_typed(spark, path, spec).count() == 3
+
+
+def test_shared_invoices_give_the_same_alerts(spark, tmp_path):
+    settings = config(tmp_path)
+    names = ll.ALERT_SCHEMA.names
+    for rules in ("code", "documented"):
+        shared = ll.run_config(spark, settings, rules=rules, staged=True, shared=True)
+        assert found(shared, *names) == found(ll.run_config(spark, settings, rules=rules), *names)
+    plan = shared._jdf.queryExecution().executedPlan().toString()
+    assert "Format: CSV" not in plan
+
+
+def test_own_folder_is_removed(spark):
+    folder = Path(run_folder(spark).removeprefix("file:"))
+    ll.stage(spark.range(3))
+    assert list(folder.iterdir())
+    release(spark)
+    assert not folder.exists()
+    assert ll.stage(spark.range(3)).count() == 3  # and made anew where needed

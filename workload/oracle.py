@@ -435,6 +435,46 @@ ORACLE: dict[str, str] = {
     "sig_all_documented": _all(M1, "documented"),
     "sig_from_config": _all(M2),
     "sig_all_incremental": _all(M1),
+    "sig_all_shared": _all(M1),
+    "filter_has_previous_untidy": _with(
+        M4,
+        LATEST,
+        LAGGED,
+        select="""
+SELECT vendor, invoice, strftime(issued, '%Y-%m-%d %H:%M:%S') AS issued,
+       strftime(previous, '%Y-%m-%d %H:%M:%S') AS previous
+FROM lagged WHERE previous IS NOT NULL""",
+    ),
+    "load_typed_csv_rejects": """
+WITH texts AS (
+  SELECT lpad(CAST(o_orderkey AS VARCHAR), 10, '0') AS invoice_id, o_custkey,
+         CASE WHEN o_orderkey % 17 = 0 THEN 'soon' ELSE strftime(o_orderdate, '%Y-%m-%d') END AS invoice_date,
+         strftime(o_orderdate, '%Y-%m-%d') AS day,
+         CASE WHEN o_orderkey % 13 = 0 THEN 'n/a' ELSE CAST(o_orderkey % 1000 AS VARCHAR) END AS total_amount,
+         printf('%d.%02d', o_orderkey % 977, o_orderkey % 100) AS price
+  FROM orders),
+lines AS (
+  SELECT *, invoice_id || ',' || o_custkey || ',' || invoice_date || ',' || day || ',' || total_amount || ',' || price AS row
+  FROM texts)
+SELECT row, 'total_amount' AS "column", total_amount AS value, 'not a decimal(24,6)' AS reason
+FROM lines WHERE total_amount = 'n/a'
+UNION ALL
+SELECT row, 'invoice_date', invoice_date, 'not a timestamp' FROM lines WHERE invoice_date = 'soon'""",
+    "load_inferred_csv": """
+WITH texts AS (
+  SELECT lpad(CAST(o_orderkey AS VARCHAR), 10, '0') AS invoice_id, CAST(o_custkey AS VARCHAR) AS customer,
+         CASE WHEN o_orderkey % 17 = 0 THEN 'soon' ELSE strftime(o_orderdate, '%Y-%m-%d') END AS invoice_date,
+         strftime(o_orderdate, '%Y-%m-%d') AS day,
+         CASE WHEN o_orderkey % 13 = 0 THEN 'n/a' ELSE CAST(o_orderkey % 1000 AS VARCHAR) END AS total_amount,
+         printf('%d.%02d', o_orderkey % 977, o_orderkey % 100) AS price
+  FROM orders),
+cells AS (UNPIVOT texts ON COLUMNS(*) INTO NAME "column" VALUE v)
+SELECT "column",
+       CASE WHEN bool_and(regexp_matches(v, '^(0|[1-9][0-9]*)$')) THEN 'integer'
+            WHEN bool_and(regexp_matches(v, '^(0|[1-9][0-9]*)([.][0-9]+)?$')) THEN 'float'
+            WHEN bool_and(TRY_CAST(v AS TIMESTAMP) IS NOT NULL) THEN 'datetime' ELSE 'string' END AS kind,
+       count(*) AS filled
+FROM cells GROUP BY ALL""",
     "sig_untidy_incremental": _with(
         M4,
         LATEST,

@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Callable
 from functools import reduce
-from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,7 +34,8 @@ from ledgerlark.plans.run import run_config, run_signals
 from ledgerlark.schema import InvoiceColumns, TableSpec
 from ledgerlark.sources.calendar import calendar, calendar_bounds
 from ledgerlark.sources.sinks import read_alerts, write_alerts
-from ledgerlark.sources.tables import checkpoint_folder, read_typed
+from ledgerlark.sources.scratch import new_path
+from ledgerlark.sources.tables import column_kinds, read_typed, read_with_rejects
 from workload.mappings import (
     banded_invoices,
     dense_invoices,
@@ -60,19 +59,10 @@ SIGNAL_SETTINGS = {
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def scratch(spark: SparkSession, name: str) -> str:
-    """A new path in the cluster's shared folder, or a local one where Spark itself is local."""
-    root = checkpoint_folder(spark)
-    if not root and not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    root = root or tempfile.mkdtemp(prefix="ledgerlark-")
-    return f"{root.rstrip('/')}/{name}-{uuid4().hex}"
-
-
 def plain(df: DataFrame) -> DataFrame:
     """Timestamps as dates and money as doubles, for comparison with another engine.
 
-    The test tables hold midnights only.
+    For tables that hold midnights only; ``untidy_invoices`` does not.
     """
     casts = {"timestamp": "date", "timestamp_ntz": "date"}
     columns = []
@@ -214,7 +204,7 @@ def sig_all_documented(spark, sf_dir):
 
 
 def sig_from_config(spark, sf_dir):
-    invoices, lines = scratch(spark, "invoice"), scratch(spark, "line_item")
+    invoices, lines = new_path(spark, "invoice"), new_path(spark, "line_item")
     dense_invoices(spark, sf_dir).write.option("header", True).csv(invoices)
     line_items(spark, sf_dir).write.option("header", True).csv(lines)
     config = {
@@ -232,9 +222,9 @@ def sig_from_config(spark, sf_dir):
             },
         },
         "Gleans": SIGNAL_SETTINGS,
-        "OutputPath": scratch(spark, "gleans.csv"),
+        "OutputPath": new_path(spark, "gleans.csv"),
     }
-    return run_config(spark, config)
+    return run_config(spark, config, staged=True, shared=True)
 
 
 # --- increments --------------------------------------------------------------------------------
@@ -242,7 +232,7 @@ def sig_from_config(spark, sf_dir):
 
 def _in_batches(spark, invoices, lines=None):
     """The state after three batches; an invoice's rows, and its lines, may come in different ones."""
-    state = SignalState(spark, scratch(spark, "signal-state"), buckets=8)
+    state = SignalState(spark, new_path(spark, "signal-state"), buckets=8)
     for batch in range(3):
         part = invoices.where(F.pmod(F.xxhash64("invoice_id", "invoice_date"), F.lit(3)) == batch)
         state.apply(part, lines and lines.where(F.pmod(F.xxhash64("line_item_id"), F.lit(3)) == batch))
@@ -261,7 +251,7 @@ def sig_untidy_incremental(spark, sf_dir):
 
 
 def load_typed_csv(spark, sf_dir):
-    path = scratch(spark, "typed")
+    path = new_path(spark, "typed")
     sparse_invoices(spark, sf_dir).write.option("header", True).csv(path)
     spec = TableSpec(
         string_columns=("invoice_id", "canonical_vendor_id"),
@@ -271,8 +261,43 @@ def load_typed_csv(spark, sf_dir):
     return plain(read_typed(spark, path, spec))
 
 
+def _untidy_csv(spark, sf_dir):
+    """Orders as a CSV table of texts, some of them not what they should be."""
+    path, key = new_path(spark, "untidy"), F.col("o_orderkey")
+    spark.read.parquet(f"{sf_dir}/orders.parquet").select(
+        F.lpad(key.cast("string"), 10, "0").alias("invoice_id"),
+        F.col("o_custkey").cast("string").alias("customer"),
+        F.when(key % 17 == 0, "soon").otherwise(F.date_format("o_orderdate", "yyyy-MM-dd")).alias("invoice_date"),
+        F.date_format("o_orderdate", "yyyy-MM-dd").alias("day"),
+        F.when(key % 13 == 0, "n/a").otherwise((key % 1000).cast("string")).alias("total_amount"),
+        F.format_string("%d.%02d", (key % 977).cast("int"), (key % 100).cast("int")).alias("price"),
+    ).write.option("header", True).csv(path)
+    return path
+
+
+def load_typed_csv_rejects(spark, sf_dir):
+    spec = TableSpec(
+        string_columns=("invoice_id",), float_columns=("total_amount",), datetime_columns=("invoice_date",)
+    )
+    _, rejects = read_with_rejects(spark, _untidy_csv(spark, sf_dir), spec)
+    return rejects.drop("file")
+
+
+def load_inferred_csv(spark, sf_dir):
+    texts = spark.read.option("header", True).csv(_untidy_csv(spark, sf_dir))
+    return column_kinds(texts)
+
+
+def sig_all_shared(spark, sf_dir):
+    tables = {
+        "invoice_data": sparse_invoices(spark, sf_dir),
+        "line_item_data": line_items(spark, sf_dir),
+    }
+    return run_signals(tables, SIGNAL_SETTINGS, shared=True)
+
+
 def sink_csv_roundtrip(spark, sf_dir):
-    path = scratch(spark, "alerts")
+    path = new_path(spark, "alerts")
     write_alerts(sig_normalize(spark, sf_dir), path)
     return read_alerts(spark, path)
 
@@ -372,6 +397,12 @@ def win_lag_invoice_date_untidy(spark, sf_dir):
     return with_previous_invoice(latest).select("vendor", "invoice", *moments)
 
 
+def filter_has_previous_untidy(spark, sf_dir):
+    """With times of day, as texts to the second."""
+    lagged = win_lag_invoice_date_untidy(spark, sf_dir)
+    return lagged.where(F.col("previous").isNotNull())
+
+
 def _history(spark, sf_dir):
     return spend.spend_history(banded_invoices(spark, sf_dir))
 
@@ -559,7 +590,10 @@ QUERIES: dict[str, Query] = {
         sig_normalize_documented,
         sig_all_incremental,
         sig_untidy_incremental,
+        sig_all_shared,
         load_typed_csv,
+        load_typed_csv_rejects,
+        load_inferred_csv,
         sink_csv_roundtrip,
         cal_bounds,
         cal_months,
@@ -577,6 +611,7 @@ QUERIES: dict[str, Query] = {
         win_lag_invoice_date,
         filter_has_previous,
         win_lag_invoice_date_untidy,
+        filter_has_previous_untidy,
         win_range_avg_spend,
         win_range_avg_spend_untidy,
         spend_pct_change_untidy,

@@ -16,9 +16,10 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from bench import session
-from ledgerlark.operators import accrual, cadence, dormant, grid, spend
+from ledgerlark.operators import accrual, cadence, dormant, spend
 from ledgerlark.operators.invoices import latest_invoice_dates
 from ledgerlark.schema import InvoiceColumns
+from tests.helpers import misses_on_grid
 from workload.mappings import banded_invoices, dense_invoices, line_items, sparse_invoices
 
 NAMES = InvoiceColumns()
@@ -51,7 +52,7 @@ def branch_per_band(spark, sf_dir):
 def on_the_grid(invoices):
     def build(spark, sf_dir):
         table = invoices(spark, sf_dir)
-        monthly, quarterly = grid.grid_misses(table, "month", 3), grid.grid_misses(
+        monthly, quarterly = misses_on_grid(table, "month", 3), misses_on_grid(
             table, "quarter", 2
         )
         return cadence.daily(monthly.unionByName(cadence.without_monthly(quarterly, monthly)))

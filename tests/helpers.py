@@ -5,8 +5,13 @@ from __future__ import annotations
 from datetime import date, datetime
 from decimal import Decimal
 
+from pyspark.sql import Window
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerlark.functions.dates import day_in_month
+from ledgerlark.operators.grid import cell_measures
+
 INVOICES = T.StructType(
     [
         T.StructField("canonical_vendor_id", T.StringType()),
@@ -54,3 +59,17 @@ def found(df, *names):
     """The chosen columns of all rows, sorted, NULLs first."""
     rows = [tuple(row) for row in df.select(*names).collect()]
     return sorted(rows, key=lambda row: tuple((v is not None, str(v)) for v in row))
+
+
+def misses_on_grid(table, unit, lookback):
+    """Missed periods found cell by cell, on the grid of all vendors and all periods."""
+    past = Window.partitionBy("vendor").orderBy("cadence").rowsBetween(-lookback, -1)
+    cells = cell_measures(table, unit).select(
+        "vendor",
+        "cadence",
+        F.coalesce("first_day", F.add_months("cadence", 1)).alias("end"),
+        F.min("n_invoices").over(past).alias("fewest"),
+        F.count(F.lit(1)).over(past).alias("seen"),
+        day_in_month(F.col("cadence"), F.dayofmonth(F.min("first_day").over(past))).alias("start"),
+    )
+    return cells.where("fewest > 0 AND seen = {} AND `end` > start".format(lookback)).drop("fewest", "seen")

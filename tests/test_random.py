@@ -17,7 +17,7 @@ from ledgerlark.operators.invoices import (
 )
 from ledgerlark.schema import InvoiceColumns
 from tests import model
-from tests.helpers import INVOICES, LINES, found
+from tests.helpers import INVOICES, LINES, found, misses_on_grid
 
 
 def random_rows(seed):
@@ -155,7 +155,7 @@ def test_runs_of_active_cells_agree_with_the_grid(tables, unit):
     _, _, invoices, _ = tables
     names = ("vendor", "cadence", "start", "end")
     find = cadence.monthly_misses if unit == "month" else cadence.quarterly_misses
-    on_grid = grid.grid_misses(invoices, unit, cadence.LOOKBACK[unit])
+    on_grid = misses_on_grid(invoices, unit, cadence.LOOKBACK[unit])
     rows = found(find(invoices), *names)
     assert rows and rows == found(on_grid, *names)
 

@@ -204,7 +204,7 @@ cells_{unit} AS (
 
 def _cell_history(unit: str, lookback: int) -> str:
     lags = ", ".join(
-        f"lag(n_invoices, {k}) OVER w AS n_invoices_lag_{k}" for k in range(1, lookback + 1)
+        f"lag(n_invoices, {k}) OVER w AS back_{k}" for k in range(1, lookback + 1)
     )
     before = (
         "PARTITION BY vendor ORDER BY cadence "
@@ -212,9 +212,9 @@ def _cell_history(unit: str, lookback: int) -> str:
     )
     return f"""
 history_{unit} AS (
-  SELECT *, min(first_day) OVER ({before}) AS expected_day,
+  SELECT *, min(first_day) OVER ({before}) AS earliest_day,
          list_sort(list(DISTINCT first_day) FILTER (first_day IS NOT NULL) OVER ({before}))
-           AS expected_days,
+           AS first_days,
          {lags}
   FROM cells_{unit}
   WINDOW w AS (PARTITION BY vendor ORDER BY cadence))"""
@@ -222,11 +222,11 @@ history_{unit} AS (
 
 def _misses(unit: str) -> str:
     lookback = {"month": 3, "quarter": 2}[unit]
-    active = " AND ".join(f"n_invoices_lag_{k} > 0" for k in range(1, lookback + 1))
+    active = " AND ".join(f"back_{k} > 0" for k in range(1, lookback + 1))
     return f"""{_calendar(unit)},{_cells(unit)},{_cell_history(unit, lookback)},
 missed_{unit} AS (
   SELECT vendor, cadence,
-         TRY_CAST(strftime(cadence, '%Y-%m-') || lpad(CAST(day(expected_day) AS VARCHAR), 2, '0')
+         TRY_CAST(strftime(cadence, '%Y-%m-') || lpad(CAST(day(earliest_day) AS VARCHAR), 2, '0')
                   AS DATE) AS start_day,
          COALESCE(first_day, CAST(date_trunc('month', cadence + 32) AS DATE)) AS end_day
   FROM history_{unit}
@@ -247,7 +247,7 @@ def _documented_misses(unit: str) -> str:
     lookback = {"month": 3, "quarter": 2}[unit]
     step = {"month": 1, "quarter": 3}[unit]
     wanted = "> 0" if unit == "month" else "= 1"
-    active = " AND ".join(f"n_invoices_lag_{k} {wanted}" for k in range(1, lookback + 1))
+    active = " AND ".join(f"back_{k} {wanted}" for k in range(1, lookback + 1))
     return f"""{_calendar(unit)},{_cells(unit)},{_cell_history(unit, lookback)},
 expected_{unit} AS (SELECT vendor, cadence, first_day FROM history_{unit} WHERE {active}),
 days_{unit} AS (
@@ -662,7 +662,7 @@ FROM history""",
         _calendar("month"),
         _cells("month"),
         _cell_history("month", 3),
-        select="SELECT vendor, cadence, expected_day FROM history_month",
+        select="SELECT vendor, cadence, earliest_day FROM history_month",
     ),
     "win_rows_collect_set": _with(
         M2,
@@ -671,7 +671,7 @@ FROM history""",
         _cell_history("month", 3),
         select="""
 SELECT vendor, cadence,
-       COALESCE(array_to_string(CAST(expected_days AS VARCHAR[]), ','), '') AS expected_days
+       COALESCE(array_to_string(CAST(first_days AS VARCHAR[]), ','), '') AS first_days
 FROM history_month""",
     ),
     "win_multi_lag": _with(
@@ -680,7 +680,7 @@ FROM history_month""",
         _cells("month"),
         _cell_history("month", 3),
         select="""
-SELECT vendor, cadence, n_invoices, n_invoices_lag_1, n_invoices_lag_2, n_invoices_lag_3
+SELECT vendor, cadence, n_invoices, back_1, back_2, back_3
 FROM history_month""",
     ),
     "spend_pct_change": _with(

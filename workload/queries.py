@@ -480,18 +480,18 @@ def _cells_with_history(spark, sf_dir):
 
 
 def win_rows_min_first(spark, sf_dir):
-    return _cells_with_history(spark, sf_dir).select("vendor", "cadence", "expected_day")
+    return _cells_with_history(spark, sf_dir).select("vendor", "cadence", "earliest_day")
 
 
 def win_rows_collect_set(spark, sf_dir):
-    days = F.array_join(F.col("expected_days").cast("array<string>"), ",")
+    days = F.array_join(F.col("first_days").cast("array<string>"), ",")
     return _cells_with_history(spark, sf_dir).select(
-        "vendor", "cadence", days.alias("expected_days")
+        "vendor", "cadence", days.alias("first_days")
     )
 
 
 def win_multi_lag(spark, sf_dir):
-    lags = [f"n_invoices_lag_{step}" for step in (1, 2, 3)]
+    lags = [f"back_{n}" for n in (1, 2, 3)]
     cells = _cells_with_history(spark, sf_dir)
     return cells.select("vendor", "cadence", "n_invoices", *lags)
 

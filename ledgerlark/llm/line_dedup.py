@@ -134,9 +134,9 @@ def shared_lines(
 ) -> DataFrame:
     """What to drop: (doc_id, row, lines), the line numbers that a row loses.
 
-    Every row of ``docs`` counts as a document. A key held by ``least_docs`` rows or more stays in
-    the rows with the largest doc_id that hold it (all its lines there) and goes everywhere else;
-    rows with a null doc_id never win over others, and keep their lines if no other row holds them.
+    Rows of one doc_id are one document, and so are all rows without one. A key held by
+    ``least_docs`` documents or more stays in the rows with the largest doc_id that hold it (all its
+    lines there) and goes everywhere else; a null doc_id never wins over others.
     """
     spark = docs.sparkSession
     chosen = docs.select(
@@ -184,7 +184,10 @@ def shared_lines(
     )
     repeated = stored(
         found.groupBy("key")
-        .agg(F.count(F.lit(1)).alias("docs"), F.max("doc_id").alias("keeper"))
+        .agg(
+            (F.count_distinct("doc_id") + F.max(F.col("doc_id").isNull().cast("int"))).alias("docs"),
+            F.max("doc_id").alias("keeper"),
+        )
         .where((F.col("docs") >= least_docs) & F.col("keeper").isNotNull())
         .select("key", "keeper"),
         "lines-repeated",

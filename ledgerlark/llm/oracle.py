@@ -104,8 +104,8 @@ SELECT query_id, rank, vec_id, distance FROM ranked WHERE rank <= 10
 
 OP9 = f"""
 WITH lines AS (
-    SELECT doc_id, unnest(generate_series(1, len(parts))) AS i, unnest(parts) AS line
-    FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents)
+    SELECT doc_id, place, unnest(generate_series(1, len(parts))) AS i, unnest(parts) AS line
+    FROM (SELECT doc_id, row_number() OVER () AS place, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents)
 ), keyed AS (
     SELECT *, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
                         '{_UPPER}', '{_UPPER.lower()}') AS key
@@ -114,12 +114,12 @@ WITH lines AS (
     SELECT key, max(doc_id) AS keeper FROM keyed WHERE length(key) >= 40
     GROUP BY key HAVING count(DISTINCT doc_id) >= 5
 ), judged AS (
-    SELECT doc_id, i, line, keeper IS NOT NULL AND keeper <> doc_id AS dropped
+    SELECT doc_id, place, i, line, keeper IS NOT NULL AND keeper <> doc_id AS dropped
     FROM keyed LEFT JOIN repeated USING (key)
 )
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (dropped) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT dropped), '')) AS kept_sha256
-FROM judged GROUP BY doc_id
+FROM judged GROUP BY doc_id, place
 """
 
 OP11 = f"""

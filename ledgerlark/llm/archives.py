@@ -273,10 +273,10 @@ def warc_date(arc_date: str) -> str:
 def arc_to_warc(manifest: DataFrame, *, revisit_bytes: int = 0) -> DataFrame:
     """Convert ARC files to WARC files; returns the stored manifest of the new files.
 
-    Identifiers are derived from item, digest and (for records without an item) URL and date;
-    timestamps, types and digests follow from the ARC fields. Of records with equal payloads of at
-    least ``revisit_bytes`` bytes, those with the largest item are responses and the others revisits
-    that refer to it; all smaller ones are responses. Records without an item revisit an equal record
+    Identifiers are derived from item, digest and the record's place in its ARC file, so that equal
+    records have their own; timestamps, types and digests follow from the ARC fields. Of records with
+    equal payloads of at least ``revisit_bytes`` bytes, those with the largest item are responses and
+    the others revisits that refer to the last of these; all smaller ones are responses. Records without an item revisit an equal record
     that has one; among themselves they all stay responses.
 
     The groups of equal payloads are counted over digests alone, combined before the shuffle, and
@@ -286,19 +286,20 @@ def arc_to_warc(manifest: DataFrame, *, revisit_bytes: int = 0) -> DataFrame:
     spark = manifest.sparkSession
     folder = _full_uri(spark, new_path(spark, "warc"))
     large = F.col("payload_bytes") >= revisit_bytes
+    file = F.substring_index("path", "/", -1)
     groups = (
         read_arc(manifest, with_payload=False)
         .where(large)
         .groupBy("digest")
-        .agg(F.max("item").alias("kept"), F.count(F.lit(1)).alias("records"))
-        .where((F.col("records") > 1) & F.col("kept").isNotNull())
+        .agg(F.max(F.struct("item", file.alias("file"), "at")).alias("kept"), F.count(F.lit(1)).alias("records"))
+        .where((F.col("records") > 1) & F.col("kept.item").isNotNull())
         .select(F.col("digest").alias("shared"), "kept")
     )
     groups = stored(groups, "warc-groups")
     records = read_arc(manifest)
     decided = records.join(groups, (records["digest"] == groups["shared"]) & large, "left").select(
-        "at", "url", "ip", "date", "mime", "item", "payload", "digest",
-        F.when(~F.col("item").eqNullSafe(F.col("kept")), F.col("kept")).alias("refers_to_item"),
+        file.alias("file"), "at", "url", "ip", "date", "mime", "item", "payload", "digest",
+        F.when(~F.col("item").eqNullSafe(F.col("kept.item")), F.col("kept")).alias("refers_to"),
     )
     schema = _arrow(MANIFEST)
 
@@ -335,15 +336,14 @@ def _warc_bytes(fields: list[tuple[str, str]], block: bytes) -> bytes:
     return f"{WARC_VERSION}\r\n{head}\r\n".encode() + block + b"\r\n\r\n"
 
 
-def _warc_record(at, url, ip, date, mime, item, payload, digest, refers_to_item) -> bytes:
-    identity = (item, digest) if item is not None else (url, date, digest, at)
-    revisit = refers_to_item is not None
+def _warc_record(file, at, url, ip, date, mime, item, payload, digest, refers_to) -> bytes:
+    revisit = refers_to is not None
     head = f"HTTP/1.1 200 OK\r\nContent-Type: {mime}\r\nContent-Length: {len(payload)}\r\n"
     head += f"{ITEM_FIELD}: {item}\r\n" if item is not None else ""
     block = head.encode() + b"\r\n" + (b"" if revisit else payload)
     fields = [
         ("WARC-Type", "revisit" if revisit else "response"),
-        ("WARC-Record-ID", record_id(*identity)),
+        ("WARC-Record-ID", record_id(item, digest, file, at)),
         ("WARC-Date", warc_date(date)),
         ("WARC-Target-URI", url or "urn:unknown"),
         ("WARC-IP-Address", ip),
@@ -354,8 +354,8 @@ def _warc_record(at, url, ip, date, mime, item, payload, digest, refers_to_item)
     if revisit:
         fields += [
             ("WARC-Profile", REVISIT_PROFILE),
-            ("WARC-Refers-To", record_id(refers_to_item, digest)),
-            ("X-Refers-To-Item", str(refers_to_item)),
+            ("WARC-Refers-To", record_id(refers_to["item"], digest, refers_to["file"], refers_to["at"])),
+            ("X-Refers-To-Item", str(refers_to["item"])),
         ]
     return _warc_bytes(fields, block)
 

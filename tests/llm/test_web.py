@@ -88,6 +88,7 @@ def test_archives_round_trip(spark):
         alone = best is None or best == r["page_id"] or sum((x["html"] or "") == text for x in rows) == 1
         want.append((str(r["page_id"]), sha(text), len(text.encode()), "response" if alone else "revisit", "None" if alone else str(best)))
     assert ours == sorted(want)
+    assert len({r["record_id"] for r in kept}) == len(kept)  # equal records too have their own
     names = {r["record_id"] for r in kept if r["record_type"] == "response"}
     assert all(r["refers_to"] in names for r in kept if r["record_type"] == "revisit")
     assert archives.warc_date("1999") == "1999-01-01T00:00:00Z"

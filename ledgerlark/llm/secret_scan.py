@@ -156,7 +156,7 @@ def findings(
     adaptive execution split a blob that a third of all rows hold. An existing ``spans`` column
     stays; the new one then gets underscores added.
     """
-    spans, key = fresh(versions, "spans"), fresh(versions, "ledger_blob")
+    spans, key, own = (fresh(versions, name) for name in ("spans", "ledger_blob", "own_blob"))
     ran = {rule.kind: F.array_contains("scanned", rule.key) for rule in rules}
     counts = reduce(Column.__or__, ran.values(), F.lit(False))
 
@@ -167,7 +167,9 @@ def findings(
     if not one_row_a_blob:
         known = known.groupBy("blob").agg(F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"))
     known = known.select(F.col("blob").alias(key), F.col("spans").alias(spans))
-    return versions.join(known, blob_of(quoted(text)) == quoted(key), "left").drop(key)
+    # The address as a column: where the text itself is not asked for, it is not shuffled.
+    addressed = versions.withColumn(own, blob_of(quoted(text)))
+    return addressed.join(known, quoted(own) == quoted(key), "left").drop(own, key)
 
 
 def redacted(text: Column, spans: Column, mark: str = "[secret]") -> Column:

@@ -8,6 +8,7 @@ which every URL has.
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Sequence
 from dataclasses import dataclass
@@ -16,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlark.llm.columns import fresh, quoted
+from ledgerlark.sources.scratch import stored
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 WORD = re.compile(r"[a-z0-9]+")
@@ -93,25 +95,11 @@ PATTERN_RULES = tuple(
 
 
 def rules_table(spark: SparkSession, rules: Sequence[UrlRule]) -> DataFrame:
-    """The rules as a table. The list is configuration, held by the caller."""
-    empty = spark.sql(f"SELECT inline(from_json('[]', 'array<struct<{_struct_ddl()}>>'))")
-    if not rules:
-        return empty
-    names = [part.split()[0] for part in RULES_SCHEMA.split(", ")]
-    kinds = [part.split(" ", 1)[1] for part in RULES_SCHEMA.split(", ")]
-    def cell(value, kind):
-        if isinstance(value, list):
-            return F.array(*map(F.lit, value)).cast(kind)
-        return F.lit(value).cast(kind)
-    rows = [
-        F.struct(*(cell(v, k).alias(n) for v, k, n in zip(rule.row(), kinds, names, strict=True)))
-        for rule in rules
-    ]
-    return spark.range(1).select(F.inline(F.array(*rows)))
-
-
-def _struct_ddl() -> str:
-    return ", ".join(f"{n.split(' ', 1)[0]}: {n.split(' ', 1)[1]}" for n in RULES_SCHEMA.split(", "))
+    """The rules as a table. The list is configuration, held by the caller, and one text of the plan."""
+    fields = [part.split(" ", 1) for part in RULES_SCHEMA.split(", ")]
+    kind = f"array<struct<{', '.join(f'{name}: {kind}' for name, kind in fields)}>>"
+    rows = [dict(zip((name for name, _ in fields), rule.row(), strict=True)) for rule in rules]
+    return spark.range(1).select(F.inline(F.from_json(F.lit(json.dumps(rows)), kind)))
 
 
 def host_of(url: Column) -> Column:
@@ -131,7 +119,7 @@ def url_words(url: Column) -> Column:
 
 def judge_urls(
     pages: DataFrame,
-    rules: Sequence[UrlRule] = SITE_RULES + PATTERN_RULES,
+    rules: Sequence[UrlRule] | DataFrame = SITE_RULES + PATTERN_RULES,
     *,
     url: str = "url",
     otherwise: str = "allow",
@@ -145,12 +133,14 @@ def judge_urls(
     word-less pattern fits the empty text. Rows are kept one for one, repeated rows included. If
     ``pages`` already has one of the four columns, the new one gets underscores added.
 
-    Each distinct URL is judged once, so a URL with a third of all rows is one small row; the
-    verdicts of fitting URLs then join back. No step holds more than one URL's own rules together.
+    ``rules`` may be a table of many rules (columns as in ``RULES_SCHEMA``; see ``rules_table``). Each
+    distinct URL is judged once, so a URL with a third of all rows is one small row there. The verdicts
+    of fitting URLs are stored and then join back, so that adaptive execution can split the rows of such
+    a URL, or send the verdicts to them. No step holds more than one URL's own rules together.
     """
     spark = pages.sparkSession
     address = F.coalesce(quoted(url), F.lit(""))
-    table = rules_table(spark, rules)
+    table = rules if isinstance(rules, DataFrame) else rules_table(spark, rules)
     urls = pages.select(address.alias("u")).groupBy("u").agg(F.lit(1).alias("one")).select("u")
     words = urls.select("u", F.explode(url_words(F.col("u"))).alias("word"))
 
@@ -193,6 +183,7 @@ def judge_urls(
             F.when(F.col("allows"), "allow").when(F.col("blocks"), "block"),
         ).alias(fresh(pages, "verdict")),
     )
+    judged = stored(judged, "judged-urls")
     key, rule, verdict = judged.columns
     joined = pages.join(judged, address == judged[key], "left")
     return joined.select(

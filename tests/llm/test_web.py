@@ -9,7 +9,8 @@ import pytest
 import __spark_entry__ as contract
 from ledgerlark.llm import archives, queries
 from ledgerlark.llm.oracle import ORACLE
-from ledgerlark.llm.url_filter import SITE_RULES, UrlRule, judge_urls
+from ledgerlark.llm.url_filter import SITE_RULES, UrlRule, judge_urls, rules_table
+from ledgerlark.sources.scratch import stored
 from tests.check_oracle import compare, tables
 
 SCHEMA = "page_id bigint, url string, html string, rule int"
@@ -59,6 +60,39 @@ def test_patterns(spark):
     assert {r["verdict"] for r in judge_urls(pages(spark, *urls), []).collect()} == {"allow"}
 
 
+@pytest.fixture
+def split_eagerly(spark):
+    """Adaptive execution takes even small partitions for skewed, and nothing is broadcast."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    saved = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    yield
+    for key, value in saved.items():
+        spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def test_hot_url_is_split(spark, split_eagerly):
+    """A third of all rows with one URL, and a third without any."""
+    urls = [f"http://h{n}.example.net/{n}" if n % 3 == 0 else "http://hot.net/" if n % 3 == 1 else None for n in range(30_000)]
+    judged = judge_urls(pages(spark, *urls).repartition(8), SITE_RULES)
+    rows = judged.collect()
+    assert "SortMergeJoin(skew=true)" in judged._jdf.queryExecution().executedPlan().toString()
+    assert len(rows) == len(urls) and sum(r["verdict"] == "block" for r in rows) == 20_000
+
+
+def test_very_many_rules(spark):
+    rules = [UrlRule(f"||site{n}.com^", "block") for n in range(100_000)]
+    urls = {"http://site77.com/": "block", "http://www.site99999.com": "block", "http://site100000.com/": "allow"}
+    for given in (rules, stored(rules_table(spark, rules), "rules")):
+        assert {r["url"]: r["verdict"] for r in judge_urls(pages(spark, *urls), given).collect()} == urls
+
+
 def test_archives_round_trip(spark):
     table = spark.createDataFrame(
         [

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from ledgerlark.llm.columns import quoted
+from ledgerlark.llm.columns import fresh, quoted
 from ledgerlark.sources.scratch import stored
 
 HELD = 100_000_000  # bytes of each of a worker's two tables
@@ -36,7 +36,7 @@ PLAIN = re.compile("[\\t\\n\\r\\x20-\\x7eÀ-ÖØ-öø-ÿ¡¿«»°§·–—‘
 PLAIN_CHARACTERS = [c for c in map(chr, range(0x2100)) if PLAIN.fullmatch(c)]
 #: The tokenizer's own pattern for words, over those characters in lower case.
 WORD = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\\sa-z0-9ß-öø-ÿ]+")
-PIECE_ROWS = 50_000
+PIECE_ROWS = 10_000
 
 
 class Known(dict):
@@ -280,37 +280,41 @@ def filling_plan(counts: dict[int, int], capacity: int) -> list[tuple[int, ...]]
 def pack(pieces: DataFrame, *, capacity: int = 4096, order: tuple[str, ...] = ("doc_id", "start", "ids_crc32")) -> DataFrame:
     """Every piece (column ``length``, 1 to ``capacity``) with ``sequence_id`` and ``offset``.
 
-    ``pieces`` should be a stored table, as it is read twice. Lengths outside 1 to ``capacity``
-    raise. Equal pieces are interchangeable. A length that a third of all pieces share is ranked in
-    buckets of about ``PIECE_ROWS`` rows, whose offsets come from their counts.
+    ``pieces`` should be a stored table, as it is read twice; its other columns stay, whatever their
+    names. Lengths outside 1 to ``capacity`` raise, and an empty table gives an empty one. Equal rows
+    are interchangeable: they are counted first, take as many places, and then stand apart again, so
+    neither a length nor a row that a third of all pieces share comes to one task. A length is ranked
+    in buckets of about ``PIECE_ROWS`` rows, whose offsets come from their counts.
     """
     spark = pieces.sparkSession
     counted = pieces.groupBy("length").count().collect()  # a row for each length: bounded by capacity
     counts = {row["length"]: row["count"] for row in counted}
     if any(n is None or not 1 <= n <= capacity for n in counts):
         raise ValueError(f"lengths must be 1 to {capacity}")
+    names = ("low", "high", "need", "first_sequence", "base", "bucket", "copies", "earlier", "within", "place", "digest")
+    low, high, need, first, base, bucket, copies, earlier, within, place, digest = (fresh(pieces, n) for n in names)
     plan = spark.createDataFrame(filling_plan(counts, capacity), PLAN)
+    plan = plan.toDF("length", low, high, need, first, base)
     buckets = 1 + sum(counts.values()) // PIECE_ROWS
-    dealt = pieces.withColumn("bucket", F.pmod(F.xxhash64(*order), F.lit(buckets)))
-    sizes = dealt.groupBy("length", "bucket").agg(F.count(F.lit(1)).alias("rows"))
-    earlier = W.partitionBy("length").orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)
-    offsets = sizes.select(
-        "length", "bucket", F.coalesce(F.sum("rows").over(earlier), F.lit(0)).alias("earlier")
-    )
-    within = W.partitionBy("length", "bucket").orderBy(*order)
+    distinct = pieces.groupBy(*map(quoted, pieces.columns)).agg(F.count(F.lit(1)).alias(copies))
+    dealt = distinct.withColumn(digest, F.xxhash64(*map(quoted, pieces.columns)))
+    dealt = dealt.withColumn(bucket, F.pmod(quoted(digest), F.lit(buckets)))
+    sizes = dealt.groupBy("length", bucket).agg(F.sum(copies).alias(copies))
+    before = W.partitionBy("length").orderBy(bucket).rowsBetween(W.unboundedPreceding, -1)
+    offsets = sizes.select("length", bucket, F.coalesce(F.sum(copies).over(before), F.lit(0)).alias(earlier))
+    ordered = W.partitionBy("length", bucket).orderBy(*order, digest).rowsBetween(W.unboundedPreceding, -1)
+    start = F.col(earlier) + F.col(within)
     ranked = (
-        dealt.withColumn("within", F.row_number().over(within) - 1)
-        .join(offsets, ["length", "bucket"])
-        .withColumn("rank", F.col("earlier") + F.col("within"))
-    )
-    placed = ranked.join(F.broadcast(plan), "length").where(
-        (F.col("rank") >= F.col("low")) & (F.col("rank") < F.col("high"))
+        dealt.withColumn(within, F.coalesce(F.sum(copies).over(ordered), F.lit(0)))
+        .join(offsets, ["length", bucket])
+        .withColumn(place, F.explode(F.sequence(start, start + F.col(copies) - 1)))
     )
-    nth = F.col("rank") - F.col("low")
+    placed = ranked.join(F.broadcast(plan), "length").where((F.col(place) >= F.col(low)) & (F.col(place) < F.col(high)))
+    nth = F.col(place) - F.col(low)
     return placed.select(
-        *pieces.columns,
-        (F.col("first_sequence") + F.floor(nth / F.col("need"))).cast("bigint").alias("sequence_id"),
-        (F.col("base") + F.pmod(nth, F.col("need")) * F.col("length")).cast("bigint").alias("offset"),
+        *map(quoted, pieces.columns),
+        (F.col(first) + F.call_function("div", nth, F.col(need))).cast("bigint").alias("sequence_id"),
+        (F.col(base) + F.pmod(nth, F.col(need)) * F.col("length")).cast("bigint").alias("offset"),
     )
 
 

@@ -6,13 +6,16 @@ import re
 from collections import defaultdict
 from itertools import combinations, islice
 
+import duckdb
 import numpy as np
+import pandas as pd
 import pytest
 import sentencepiece
 from tokenizers import Tokenizer
 
 import corpus_pipeline
 from ledgerlark.llm import language_id, line_dedup, near_dedup, packing, piece_codec, queries, secret_scan
+from ledgerlark.llm.oracle import ORACLE
 from ledgerlark.sources.scratch import stored
 from pyspark.sql import functions as F
 
@@ -96,7 +99,8 @@ def lines_kept(rows):
         for k in {key(line) for line in (text or "").split("\n")}:
             if len(k) >= 40:
                 held[k].append(i)
-    gone = {k: max(x for x in ids if x is not None) for k, ids in held.items() if len(ids) >= 5 and any(x is not None for x in ids)}
+    held = {k: set(ids) for k, ids in held.items()}  # a document is one, however many rows it has
+    gone = {k: max(x for x in ids if x is not None) for k, ids in held.items() if len(ids) >= 5 and ids != {None}}
     return [
         (i, "\n".join(x for x in (t or "").split("\n") if gone.get(key(x), i) == i), len((t or "").split("\n")))
         for i, t in rows
@@ -116,6 +120,22 @@ def test_lines(spark):
     assert line_dedup.drop_shared_lines(docs(spark)).count() == 0
 
 
+def test_repeated_rows_are_one_document(spark):
+    """Four rows of one document and one of another: two documents, which share no line in the sense."""
+    line = "the same long line of two documents, not of five of them"
+    rows = [(1, line)] * 4 + [(2, line)]
+    ours = line_dedup.drop_shared_lines(docs(spark, *rows)).collect()
+    assert sorted((r["doc_id"], r["text"], r["n_dropped"]) for r in ours) == [(1, line, 0)] * 4 + [(2, line, 0)]
+    table = docs(spark, *rows, *[(n, line + "s" * 9) for n in (3, 4, 5, 6, 7, 7)], (8, f"x\n{line}\n"), (9, f"{line}\n{line}"), (10, line))
+    database = duckdb.connect()
+    frame = pd.DataFrame([tuple(r) for r in table.select("doc_id", "text").collect()], columns=["doc_id", "text"])
+    database.register("documents", frame)
+    sql = database.execute(ORACLE["op9_line_dedup"]).fetchall()
+    ours = line_dedup.drop_shared_lines(table.select("doc_id", "text"))
+    found = ours.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256)).collect()
+    assert sorted(map(tuple, found)) == sorted(sql) and sum(r[2] for r in sql) == 5 + 1 + 2 + 4
+
+
 # --- near-duplicates -------------------------------------------------------------------------------
 
 
@@ -381,3 +401,34 @@ def test_language_stage_without_labels(spark):
 def test_queries_cover_all_rows(spark, name):
     found = queries.QUERIES[name](spark, SF)
     assert found.select("doc_id").distinct().count() == spark.read.parquet(f"{SF}/documents.parquet").count()
+
+
+def test_pack_keeps_callers_columns_and_splits_equal_rows(spark):
+    """Names used within are free for the caller; rows that a third share stand apart again."""
+    rows = [(n, 0, 7, 1 + n % 13, "keep me", 1, 2, 3, 4) for n in range(200)] + [(None, 5, 9, 3, "same", 1, 2, 3, 4)] * 300
+    names = "doc_id bigint, start bigint, ids_crc32 bigint, length bigint, rank string, low int, bucket int, copies int, base int"
+    pieces = stored(spark.createDataFrame(rows, names), "pieces")
+    out = packing.pack(pieces, capacity=16).collect()
+    assert sorted(map(str, (tuple(r)[:9] for r in out))) == sorted(map(str, rows))
+    filled = defaultdict(list)
+    for r in out:
+        filled[r["sequence_id"]].append((r["offset"], r["length"]))
+    for parts in filled.values():
+        at = 0
+        for offset, length in sorted(parts):
+            assert offset == at
+            at += length
+        assert at <= 16
+    assert packing.pack(pieces.limit(0), capacity=16).count() == 0
+
+
+def test_tokenizer_tables_are_bounded():
+    """Ids stay the library's own while tables of a few kilobytes let go of what they held."""
+    path = queries.tokenizer_path(queries.WORD_TOKENIZER)
+    small, whole = packing.WordTokenizer(path, held=20_000), Tokenizer.from_file(path)
+    texts = [words(200, n) + ", don't " + words(5, n % 7).upper() + "! \n12.50€ " + "long" * 100 for n in range(60)]
+    texts += ["", " ", "é" * 500, "😀 mixed", "x" * 300_000, "<|endoftext|>"]
+    for text, ids in zip(texts, small.encode(texts), strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids
+    for table in (small.words, small.stretches):
+        assert table.held <= 20_000 and all(len(t) <= packing.LONG for t in table)

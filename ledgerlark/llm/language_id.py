@@ -71,7 +71,7 @@ def has_letter(text: str | None) -> bool:
 
 
 def lettered(text: Column) -> Column:
-    return F.udf(has_letter, "boolean")(text)
+    return F.coalesce(text.rlike(r"\p{L}"), F.lit(False))
 
 
 @dataclass(frozen=True)

@@ -397,6 +397,25 @@ def test_language_stage_without_labels(spark):
         assert sorted(r["doc_id"] for r in kept.collect()) == want
 
 
+def test_language_stage_fills_in_what_it_finds(spark):
+    """Rows without a language get the one found, all others keep theirs."""
+    given = spark.read.parquet(f"{SF}/documents.parquet")
+    table = given.withColumn("lang", F.when(F.col("doc_id") % 4 != 0, F.col("lang")))
+    kept = {r["doc_id"]: r["lang"] for r in corpus_pipeline.keep_identified(spark, table, SF).collect()}
+    known = {r["doc_id"]: r["lang"] for r in given.collect() if r["doc_id"] in kept}
+    assert all(kept[i] == lang for i, lang in known.items() if i % 4 and lang)
+    open_ids = [i for i, lang in known.items() if i % 4 == 0 and lang]
+    assert all(kept[i] for i in kept) and sum(kept[i] == known[i] for i in open_ids) >= 0.9 * len(open_ids)
+
+
+def test_pipeline_of_no_documents(spark):
+    table = docs(spark).select("doc_id", "text", "lang", "source", "n_chars")
+    for _, stage in corpus_pipeline.STAGES:
+        table = stored(stage(spark, table, SF), "empty-stage")
+        assert table.count() == 0
+    assert "sequence_id" in table.columns
+
+
 @pytest.mark.parametrize("name", ["op5_language_id", "op7_packing", "op8_near_dedup", "op10_piece_codec"])
 def test_queries_cover_all_rows(spark, name):
     found = queries.QUERIES[name](spark, SF)

@@ -1,4 +1,9 @@
-"""From raw documents to packed training sequences: five stages, each written before the next."""
+"""From raw documents to packed training sequences: five stages, each written before the next.
+
+Null and empty texts, and others without a letter, go in the first stage. Repeated rows are rows of one
+document and stay until near-dedup keeps one of each class; null ids do not make documents equal. Long
+texts are worked on whole. Other columns go along, whatever their names. An empty table gives no pieces.
+"""
 
 from __future__ import annotations
 
@@ -21,13 +26,15 @@ def _as_before(docs: DataFrame, changed: DataFrame) -> DataFrame:
 
 def keep_identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Language ID: rows whose text has no letter to tell a language by go, and no others, also where
-    no language could be learned."""
+    no language could be learned. A row without a language gets the one that is found."""
     model = language_id.train(docs)
     if not model.languages:
         return docs.where(language_id.lettered(F.col("text")))
     name = fresh(docs, "lang_pred")
-    found = language_id.identify(docs, model)
-    return found.where(quoted(name) != language_id.UNDETERMINED).select(*map(quoted, docs.columns))
+    found = language_id.identify(docs, model).where(quoted(name) != language_id.UNDETERMINED)
+    return found.select(
+        *(F.coalesce(quoted(c), quoted(name)).alias(c) if c == "lang" else quoted(c) for c in docs.columns)
+    )
 
 
 def cut_shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

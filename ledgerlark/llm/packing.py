@@ -27,8 +27,8 @@ from pyspark.sql import Window as W
 from ledgerlark.llm.columns import fresh, quoted
 from ledgerlark.sources.scratch import stored
 
-HELD = 100_000_000  # bytes of each of a worker's two tables
-CHUNK = 8_000_000  # characters worked on at a time, or one longer text
+HELD = 64_000_000  # bytes of each of a worker's two tables
+CHUNK = 2_000_000  # characters worked on at a time, or one longer text
 LONG = 200  # characters: longer stretches and words are not kept
 #: Texts of these characters alone are split at white space, and each stretch is looked up; the
 #: tokenizer's own normal form changes nothing in them but the case. Others go to it whole.

@@ -4,8 +4,10 @@ A state folder holds what the detectors need of all rows seen: rows by vendor an
 active days and months of each vendor, and the alerts' own rows. A batch adds its rows, works out
 again the days and months it touches, adds what it changes to the months' totals, and replaces the
 results of its vendors and invoices. Tables lie in buckets by a hash of vendor or invoice id; the
-buckets that a batch does not touch are neither read nor written. The new state becomes visible all
-at once (see ``sources.versions``), so a batch that fails can simply be applied again.
+buckets that a batch does not touch are neither read nor written. A batch that is large against what
+its buckets hold (see ``FEW``) has them worked out anew, in two exchanges of their rows: to find out
+what it changes would take ten and sorted joins. The new state becomes visible all at once (see
+``sources.versions``), so a batch that fails can simply be applied again.
 """
 
 from __future__ import annotations
@@ -50,6 +52,8 @@ REPLACED = {
     "accrual": "vendor string, invoice string, issued timestamp, period_end timestamp",
 }
 BY_INVOICE = {"dates", "ends", "accrual"}
+#: A batch whose buckets hold more than this many times its rows is looked up in them.
+FEW = 8
 
 
 def _same(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
@@ -89,12 +93,17 @@ class SignalState:
         chosen = held if buckets is None else [str(b) for b in buckets if str(b) in held]
         paths = [path for b in chosen for path in held[b]]
         schema = T.StructType.fromDDL((ROWS | REPLACED)[name])
-        if not paths:
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(*paths)
+        return self._read(schema, paths)
 
-    def _write(self, part: str, name: str, rows: DataFrame, key: str, touched: list[int] | None) -> None:
-        """Add rows, or put them in the place of the ``touched`` buckets."""
+    def _read(self, schema: T.StructType, paths: list[str]) -> DataFrame:
+        if paths:
+            return self.spark.read.schema(schema).parquet(*paths)
+        # Seen to be empty as the plan is built, so that joins with it fall away.
+        absent = [F.lit(None).cast(field.dataType).alias(field.name) for field in schema]
+        return self.spark.range(1).where(F.lit(False)).select(*absent)
+
+    def _write(self, part: str, name: str, rows: DataFrame, key: str, touched: list[int] | None) -> list[int]:
+        """Add rows, or put them in the place of the ``touched`` buckets; returns the buckets written."""
         path = f"{part}/{name}"
         schema = T.StructType.fromDDL((ROWS | REPLACED)[name])
         chosen = rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema])
@@ -104,14 +113,11 @@ class SignalState:
         held = dict(self.content["tables"].get(name, {}))
         for bucket in touched or ():
             held.pop(str(bucket), None)
-        for folder in self.folder.subfolders(path):
-            held[folder.removeprefix("bucket=")] = [*held.get(folder.removeprefix("bucket="), []), f"{path}/{folder}"]
+        written = [folder.removeprefix("bucket=") for folder in self.folder.subfolders(path)]
+        for bucket in written:
+            held[bucket] = [*held.get(bucket, []), f"{path}/bucket={bucket}"]
         self.content = self.content | {"tables": self.content["tables"] | {name: held}}
-
-    def _touched(self, *keyed: tuple[DataFrame, str]) -> list[int]:
-        """Buckets of the keys: at most as many numbers as there are buckets."""
-        found = [df.select(self._bucket(key).alias("bucket")) for df, key in keyed]
-        return [row["bucket"] for row in reduce(DataFrame.unionByName, found).distinct().collect()]
+        return [int(bucket) for bucket in written]
 
     # --- batches ---------------------------------------------------------------------------------
 
@@ -135,31 +141,50 @@ class SignalState:
             F.col(c.vendor).alias("vendor"), F.col(c.invoice).alias("invoice"), F.col(c.date).cast("timestamp").alias("issued")
         ).agg(F.max(amount).alias("amount"))
         earlier = self.content["tables"].get("rows", {})
-        self._write(part, "rows", batch, "vendor", None)
-        added = self.content["tables"]["rows"]
-        batch = self._added("rows", earlier, added)
-        touched = self._touched((batch, "vendor"))
+        touched = self._write(part, "rows", batch, "vendor", None)
+        batch = self._added("rows", earlier)
         rows = self.table("rows", touched)  # the batch included
-        old = self._old_rows(earlier, touched)
-        self._write(part, "days", self._days(batch, old, rows, touched), "vendor", touched)
-        self._write(part, "months", self._months(batch, old, touched), "vendor", touched)
-        vendors = batch.select("vendor").distinct()
-        self._results(part, vendors, touched)
+        old = self._held("rows", earlier, touched)
+        size, newest = batch.agg(F.count(F.lit(1)), F.max(F.to_date("issued")).cast("string")).first()
+        few = FEW * size < old.count()
+        days = self._days(batch, old, rows, touched) if few else self._all_days(rows)
+        self._write(part, "days", days, "vendor", touched)
+        months = self._months(batch, old, touched) if few else self._all_months(rows)
+        self._write(part, "months", months, "vendor", touched)
+        self._results(part, batch.select("vendor").distinct() if few else None, touched)
         self._accruals(part, batch, line_items)
-        newest = batch.agg(F.max(F.to_date("issued")).cast("string")).first()[0]
         known = [day for day in (self.content["newest"], newest) if day]
         self.content = self.content | {"newest": max(known, default=None)}
 
-    def _added(self, name: str, earlier: dict, now: dict) -> DataFrame:
+    def _added(self, name: str, earlier: dict) -> DataFrame:
         """The rows just written, read back."""
+        now = self.content["tables"][name]
         paths = [path for b, held in now.items() for path in held if path not in earlier.get(b, [])]
-        schema = T.StructType.fromDDL(ROWS[name])
-        return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
+        return self._read(T.StructType.fromDDL(ROWS[name]), paths)
 
-    def _old_rows(self, earlier: dict, touched: list[int]) -> DataFrame:
+    def _held(self, name: str, earlier: dict, touched: list[int]) -> DataFrame:
+        """The rows that the touched buckets held before."""
         paths = [path for b in touched for path in earlier.get(str(b), [])]
-        schema = T.StructType.fromDDL(ROWS["rows"])
-        return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
+        return self._read(T.StructType.fromDDL(ROWS[name]), paths)
+
+    def _all_days(self, rows: DataFrame) -> DataFrame:
+        """Active days of all ``rows``."""
+        return vendor_days(rows.groupBy("vendor", "invoice").agg(F.max("issued").alias("issued")))
+
+    def _all_months(self, rows: DataFrame) -> DataFrame:
+        """Active months of all ``rows``."""
+        once = rows.where(F.col("issued").isNotNull()).groupBy("vendor", "invoice", "issued")
+        zero = F.lit(0).cast(MONEY)
+        return (
+            once.agg(F.max("amount").alias("amount"))
+            .groupBy("vendor", MONTH.ordinal(F.to_date("issued")).alias("period"))
+            .agg(
+                F.sum(F.coalesce("amount", zero)).cast(SUM).alias("spend"),
+                F.count("amount").alias("priced"),
+                F.min(F.to_date("issued")).alias("first_day"),
+                (F.count("invoice") > 0).alias("billed"),
+            )
+        )
 
     def _days(self, batch: DataFrame, old: DataFrame, rows: DataFrame, touched: list[int]) -> DataFrame:
         """Active days, those anew on which an invoice of the batch lay or lies."""
@@ -205,15 +230,18 @@ class SignalState:
             )
         )
 
-    def _results(self, part: str, vendors: DataFrame, touched: list[int]) -> None:
-        """Alerts and misses of the batch's vendors, from their days and months."""
+    def _results(self, part: str, vendors: DataFrame | None, touched: list[int]) -> None:
+        """Alerts and misses of the batch's vendors, or of all in their buckets, from days and months."""
 
         def of_vendors(name: str) -> DataFrame:
-            return _same(self.table(name, touched), vendors, ["vendor"], "left_semi")
+            held = self.table(name, touched)
+            return held if vendors is None else _same(held, vendors, ["vendor"], "left_semi")
 
         def replace(name: str, found: DataFrame) -> None:
-            kept = _same(self.table(name, touched), vendors, ["vendor"], "left_anti")
-            self._write(part, name, kept.unionByName(found), "vendor", touched)
+            if vendors is not None:
+                kept = _same(self.table(name, touched), vendors, ["vendor"], "left_anti")
+                found = kept.unionByName(found)
+            self._write(part, name, found, "vendor", touched)
 
         keyed = F.col("canonical_vendor_id").alias("vendor")
         dormant = dormant_from_days(of_vendors("days"), window=self.window)
@@ -232,29 +260,37 @@ class SignalState:
 
     def _accruals(self, part: str, batch: DataFrame, line_items: DataFrame | None) -> None:
         c = self.columns
-        ends = None
+        parts = {"dates": batch.select("vendor", "invoice", "issued")}
         if line_items is not None:
-            ends = line_items.groupBy(F.col(c.invoice).alias("invoice")).agg(
+            parts["ends"] = line_items.groupBy(F.col(c.invoice).alias("invoice")).agg(
                 F.max(F.col(c.period_end).cast("timestamp")).alias("period_end")
             )
-            earlier = self.content["tables"].get("ends", {})
-            self._write(part, "ends", ends.where(F.col("invoice").isNotNull()), "invoice", None)
-            ends = self._added("ends", earlier, self.content["tables"]["ends"])
-        dates = batch.select("vendor", "invoice", "issued").where(F.col("invoice").isNotNull())
-        self._write(part, "dates", dates, "invoice", None)
-        ids = dates.select("invoice") if ends is None else dates.select("invoice").unionByName(ends.select("invoice"))
-        ids = ids.distinct()
-        touched = self._touched((ids, "invoice"))
+        earlier = {name: self.content["tables"].get(name, {}) for name in parts}
+        written = [
+            self._write(part, name, rows.where(F.col("invoice").isNotNull()), "invoice", None)
+            for name, rows in parts.items()
+        ]
+        touched = sorted(set().union(*written))
+        added = [self._added(name, earlier[name]) for name in parts]
+        held = [self._held(name, before, touched) for name, before in earlier.items()]
+        few = FEW * sum(df.count() for df in added) < sum(df.count() for df in held)
+        ids = reduce(DataFrame.unionByName, [df.select("invoice") for df in added]).distinct()
 
         def of_ids(name: str) -> DataFrame:
-            return _same(self.table(name, touched), ids, ["invoice"], "left_semi")
-
-        latest = of_ids("ends").groupBy("invoice").agg(F.max("period_end").alias("period_end"))
-        found = keyed_by_invoice(of_ids("dates").distinct()).join(keyed_by_invoice(latest), INVOICE_KEY)
-        late = found.where(F.col("period_end") > F.date_add("issued", self.window))
-        kept = _same(self.table("accrual", touched), ids, ["invoice"], "left_anti")
-        columns = ["vendor", "invoice", "issued", "period_end"]
-        self._write(part, "accrual", kept.select(*columns).unionByName(late.select(*columns)), "invoice", touched)
+            held = self.table(name, touched)
+            return _same(held, ids, ["invoice"], "left_semi") if few else held
+
+        # Every batch has at most one end of an id, and one row of a date: the latest of those that
+        # are late is found after the join, in which their copies have come together.
+        found = keyed_by_invoice(of_ids("dates")).join(keyed_by_invoice(of_ids("ends")), INVOICE_KEY)
+        late = (
+            found.where(F.col("period_end") > F.date_add("issued", self.window))
+            .groupBy("vendor", "invoice", "issued")
+            .agg(F.max("period_end").alias("period_end"))
+        )
+        if few:
+            late = _same(self.table("accrual", touched), ids, ["invoice"], "left_anti").unionByName(late)
+        self._write(part, "accrual", late, "invoice", touched)
 
     # --- reading ---------------------------------------------------------------------------------
 

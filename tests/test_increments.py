@@ -7,6 +7,7 @@ from datetime import date, timedelta
 import pytest
 
 from ledgerlark import SignalState, VersionConflict, run_signals
+from ledgerlark.plans import increments
 from ledgerlark.sources.versions import VersionedFolder
 from tests.helpers import invoices, lines
 
@@ -125,3 +126,20 @@ def test_empty_batches(spark, tmp_path):
     state.apply(invoices(spark, ("v", "i", "2020-01-01", 1)))
     state.apply(invoices(spark), lines(spark, ("i", "2020-05-01")))
     assert [row[3] for row in rows_of(state.alerts())] == [2]
+
+
+def test_a_large_batch_is_not_looked_up_in_its_buckets(spark, tmp_path, monkeypatch):
+    bills, items = history(5)
+    halves = [(bills[:80], items[:30]), (bills[80:], items[30:])]
+    expected = whole_run(spark, bills, items)
+    tables = {}
+    for few in (0, increments.FEW):  # 0: every batch is looked up
+        monkeypatch.setattr(increments, "FEW", few)
+        if few:
+            monkeypatch.setattr(increments, "_same", lambda *_: pytest.fail("a join with the batch"))
+        state = SignalState(spark, str(tmp_path / f"state{few}"), buckets=2)
+        for part, ends in halves:
+            state.apply(invoices(spark, *part), lines(spark, *ends))
+        assert rows_of(state.alerts()) == expected
+        tables[few] = {name: sorted(map(str, state.table(name).collect())) for name in increments.REPLACED}
+    assert tables[0] == tables[increments.FEW]

@@ -143,3 +143,12 @@ def test_a_large_batch_is_not_looked_up_in_its_buckets(spark, tmp_path, monkeypa
         assert rows_of(state.alerts()) == expected
         tables[few] = {name: sorted(map(str, state.table(name).collect())) for name in increments.REPLACED}
     assert tables[0] == tables[increments.FEW]
+
+
+def test_rows_without_line_items_join_nothing(spark, tmp_path):
+    state = SignalState(spark, str(tmp_path), buckets=2)
+    state.apply(invoices(spark, ("v", "i", "2020-01-01", 1)))
+    ends = state.table("ends")
+    assert ends.columns == ["invoice", "period_end"] and ends.collect() == []
+    joined = state.table("dates").join(ends, "invoice")._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in joined and "Relation" not in joined.replace("LocalRelation", "")

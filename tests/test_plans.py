@@ -185,6 +185,18 @@ def test_counters_take_no_object_aggregates(spark):
     assert "ObjectHashAggregate" not in plan and "Generate explode(flatten" not in plan
 
 
+def test_counters_are_neither_shuffled_nor_sorted(spark):
+    alerts = ll.missing_invoices(sparse_invoices(spark, SF), rules="documented")
+    plan = executed(alerts)
+    assert len(re.findall(r"- Exchange hashpartitioning", plan)) <= 3
+    alerts = ll.missing_invoices(sparse_invoices(spark, SF), rules="documented")
+    with_inputs = alerts._jdf.queryExecution().explainString(
+        spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    )
+    moved = re.findall(r"\n\(\d+\) (?:Exchange|Sort)\b[^\n]*\nInput \[\d+\]: ([^\n]*)", with_inputs)
+    assert len(moved) > 5 and not any("n_31#" in names for names in moved)
+
+
 def test_previous_invoices_take_few_exchanges(spark):
     lagged = with_previous_invoice(latest_invoice_dates(sparse_invoices(spark, SF), ll.InvoiceColumns()))
     assert len(re.findall(r"(?<!Reused)Exchange hashpartitioning", executed(lagged))) <= 6

@@ -149,7 +149,8 @@ class SignalState:
         few = FEW * size < old.count()
         days = self._days(batch, old, rows, touched) if few else self._all_days(rows)
         self._write(part, "days", days, "vendor", touched)
-        months = self._months(batch, old, touched) if few else self._all_months(rows)
+        alone = not any(str(bucket) in earlier for bucket in touched)
+        months = self._months(batch, old, touched) if few else self._all_months(rows, merged=alone)
         self._write(part, "months", months, "vendor", touched)
         self._results(part, batch.select("vendor").distinct() if few else None, touched)
         self._accruals(part, batch, line_items)
@@ -171,12 +172,14 @@ class SignalState:
         """Active days of all ``rows``."""
         return vendor_days(rows.groupBy("vendor", "invoice").agg(F.max("issued").alias("issued")))
 
-    def _all_months(self, rows: DataFrame) -> DataFrame:
-        """Active months of all ``rows``."""
-        once = rows.where(F.col("issued").isNotNull()).groupBy("vendor", "invoice", "issued")
+    def _all_months(self, rows: DataFrame, merged: bool) -> DataFrame:
+        """Active months of all ``rows``; ``merged`` if no two are of one invoice and date, as in a single batch."""
+        dated = rows.where(F.col("issued").isNotNull())
+        if not merged:
+            dated = dated.groupBy("vendor", "invoice", "issued").agg(F.max("amount").alias("amount"))
         zero = F.lit(0).cast(MONEY)
         return (
-            once.agg(F.max("amount").alias("amount"))
+            dated
             .groupBy("vendor", MONTH.ordinal(F.to_date("issued")).alias("period"))
             .agg(
                 F.sum(F.coalesce("amount", zero)).cast(SUM).alias("spend"),

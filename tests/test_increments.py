@@ -152,3 +152,21 @@ def test_rows_without_line_items_join_nothing(spark, tmp_path):
     assert ends.columns == ["invoice", "period_end"] and ends.collect() == []
     joined = state.table("dates").join(ends, "invoice")._jdf.queryExecution().optimizedPlan().toString()
     assert "Join" not in joined and "Relation" not in joined.replace("LocalRelation", "")
+
+
+def test_months_of_a_first_batch_take_one_exchange(spark, tmp_path, monkeypatch):
+    exchanges, all_months = [], SignalState._all_months
+
+    def counted(*given, **options):
+        found = all_months(*given, **options)
+        exchanges.append(found._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning"))
+        return found
+
+    monkeypatch.setattr(SignalState, "_all_months", counted)
+    state = SignalState(spark, str(tmp_path), buckets=2)
+    copies = [("v", "i", "2020-01-01", 1), ("v", "i", "2020-01-01", 5), ("v", "j", "2020-01-02", 2), ("v", "k", None, 9)]
+    for amounts in ((7, 2), (10, 2)):
+        state.apply(invoices(spark, *copies))
+        assert [(int(r.spend), r.priced) for r in state.table("months").collect()] == [amounts]
+        copies = [("v", "i", "2020-01-01", 8), ("v", "j", "2020-01-02", 1)]  # of the first batch's ids and dates
+    assert exchanges == [1, 2]

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import ledgerlark as ll
-from ledgerlark.operators.invoices import invoice_lines, latest_invoice_dates, with_previous_invoice
+from ledgerlark.operators.invoices import invoice_lines, latest_invoice_dates, vendor_days, with_previous_invoice
 from workload.mappings import line_items, sparse_invoices, untidy_invoices
 from workload.queries import QUERIES
 
@@ -173,6 +173,24 @@ def executed(df):
     return "\n".join(kept)
 
 
+def test_days_are_sorted_by_a_number_first(spark):
+    rows = [("a", "i2", "2020-01-01 10:00"), ("a", "i1", "2020-01-01 10:00"), ("a", None, "2020-01-02 09:00"),
+            (None, "i3", "2020-01-01 11:00"), (None, "i4", "2020-01-01 12:00"), ("b", "i5", None)]
+    latest = spark.createDataFrame(rows, "vendor string, invoice string, issued string").withColumn(
+        "issued", F.col("issued").cast("timestamp")
+    )
+    days = vendor_days(latest)
+    assert days.columns == ["vendor", "day", "opening", "closing"]
+    found = [(r.vendor, str(r.day), r.opening.invoice, str(r.closing)) for r in days.collect()]
+    assert sorted(found, key=str) == [
+        ("a", "2020-01-01", "i1", "2020-01-01 10:00:00"),
+        ("a", "2020-01-02", None, "2020-01-02 09:00:00"),
+        (None, "2020-01-01", "i3", "2020-01-01 12:00:00"),
+    ]
+    sorts = re.findall(r"Sort \[(\w+)#", physical(vendor_days(latest)))
+    assert sorts and set(sorts) == {"vendor_day"}
+
+
 def test_newest_date_takes_no_scan_of_its_own(spark):
     for options in ({}, {"rules": "documented"}):
         plan = executed(ll.missing_invoices(sparse_invoices(spark, SF), **options))
